@@ -30,6 +30,11 @@ DEFAULT_BLOCK_WIDTH = 1 << 20
 DEFAULT_BATCH_WIDTH = 1000
 
 
+def floor_div(order: str, width: int):
+    """Exact integer floor(order / width) in LONG arithmetic (no double rounding)."""
+    return F.expr(f"(`{order}` - pmod(`{order}`, {int(width)})) div {int(width)}").cast("long")
+
+
 def running_sum(
     df: DataFrame,
     keys: Sequence[str],
@@ -45,7 +50,7 @@ def running_sum(
     """
     keys = list(keys)
     blk = "__block"
-    with_block = df.withColumn(blk, F.floor(F.col(order) / F.lit(block_width)).cast("long"))
+    with_block = df.withColumn(blk, floor_div(order, block_width))
     totals = with_block.groupBy(*keys, blk).agg(F.sum(value).alias("__block_total"))
     before = Window.partitionBy(*keys).orderBy(blk).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
@@ -101,7 +106,7 @@ def item_changelog_compacted(
     Built from per-(item, batch) totals, so no per-row window is needed.
     """
     d = signed_delta(tx, keep=[order]).where(F.col("itemID").isNotNull())
-    per_batch = d.groupBy("itemID", F.floor(F.col(order) / F.lit(batch_width)).cast("long").alias("batch")).agg(
+    per_batch = d.groupBy("itemID", floor_div(order, batch_width).alias("batch")).agg(
         F.sum("delta").alias("batch_delta"), F.max(order).alias(order)
     )
     out = running_sum(per_batch, ["itemID"], "batch", "batch_delta", "currentStock", block_width)

@@ -58,6 +58,64 @@ def q_store_stock_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lk.store_stock_lookup(stock, tb.store_requests(spark, sf_dir))
 
 
+# --- codec, traces, finders ------------------------------------------------
+
+from skuflow.operators import trace as tr  # noqa: E402
+from skuflow.sources import codec as cd  # noqa: E402
+from skuflow.sources import messages as ms  # noqa: E402
+
+
+def q_decode_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cd.decode_transactions(ms.events_messages(spark, sf_dir), "permissive")
+
+
+def q_quarantine_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cd.quarantine_transactions(ms.events_messages(spark, sf_dir))
+
+
+def q_encode_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cd.encode_transactions(tb.events_transactions(spark, sf_dir), key="storeName")
+
+
+def q_encode_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cd.encode_inventory(st.item_stock(tb.lineitem_transactions(spark, sf_dir)))
+
+
+def q_inventory_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tr.inventory_trace(ch.item_changelog(tb.events_transactions(spark, sf_dir)))
+
+
+def q_record_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tr.record_trace(ms.events_messages(spark, sf_dir))
+
+
+def q_first_event_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lk.first_event_by_key(ms.events_messages(spark, sf_dir))
+
+
+def q_first_event_by_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lk.first_event_by_payload(ms.events_messages(spark, sf_dir), "sku", path="$")
+
+
+def q_stamp_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tr.stamp_transactions(tb.lineitem_transactions(spark, sf_dir))
+
+
+from skuflow.plans.streams import STREAMS as _STREAMS  # noqa: E402
+
+_BATCH = {
+    "decode_transactions": q_decode_transactions,
+    "quarantine_transactions": q_quarantine_transactions,
+    "encode_transactions": q_encode_transactions,
+    "encode_inventory": q_encode_inventory,
+    "inventory_trace": q_inventory_trace,
+    "record_trace": q_record_trace,
+    "first_event_by_key": q_first_event_by_key,
+    "first_event_by_payload": q_first_event_by_payload,
+    "stamp_transactions": q_stamp_transactions,
+}
+
+
 def queries() -> dict[str, Query]:
     return {
         "item_stock": q_item_stock,
@@ -69,4 +127,6 @@ def queries() -> dict[str, Query]:
         "item_changelog_compacted": q_item_changelog_compacted,
         "stock_lookup": q_stock_lookup,
         "store_stock_lookup": q_store_stock_lookup,
+        **_BATCH,
+        **_STREAMS,
     }

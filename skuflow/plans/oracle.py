@@ -125,3 +125,87 @@ def oracle_sql() -> dict[str, str]:
         LEFT JOIN ({_store_stock(TX_EVENTS)}) s ON r.storeName = s.storeName
     """
     return q
+
+
+def _json_str(field: str, expr: str) -> str:
+    return f"""CASE WHEN {expr} IS NOT NULL THEN '"{field}":"' || {expr} || '"' END"""
+
+
+def _json_num(field: str, expr: str) -> str:
+    return f"""CASE WHEN {expr} IS NOT NULL THEN '"{field}":' || CAST({expr} AS VARCHAR) END"""
+
+
+TX_JSON = (
+    "'{' || concat_ws(',', "
+    + ", ".join(
+        [
+            _json_num("id", "id"),
+            _json_str("storeName", "storeName"),
+            _json_str("sku", "sku"),
+            _json_num("quantity", "quantity"),
+            _json_str("type", "type"),
+            _json_num("price", "price"),
+            _json_str("timestamp", "timestamp"),
+        ]
+    )
+    + ") || '}'"
+)
+
+ITEM_MESSAGES = f"""
+    SELECT 'items' AS topic, CAST(e.user_id % 3 AS INTEGER) AS partition, t.id AS "offset",
+           t.storeName AS key,
+           CASE WHEN e.event_type = 'view' THEN e.props ELSE {TX_JSON} END AS value,
+           t.*
+    FROM ({TX_EVENTS}) t JOIN events e ON e.event_id = t.id
+"""
+
+
+def _more(q: dict[str, str]) -> None:
+    valid = f"SELECT * FROM ({TX_EVENTS}) WHERE event_type <> 'view'"
+    q["decode_transactions"] = f"""
+        SELECT topic, partition, "offset", id, storeName, sku, quantity, type, price, timestamp
+        FROM ({ITEM_MESSAGES}) WHERE event_type <> 'view'
+    """
+    q["quarantine_transactions"] = f"""
+        SELECT topic, partition, "offset", key, value, 'unknown field' AS reason
+        FROM ({ITEM_MESSAGES}) WHERE event_type = 'view'
+    """
+    q["encode_transactions"] = f"SELECT storeName AS key, {TX_JSON} AS value FROM ({TX_EVENTS})"
+    q["encode_inventory"] = f"""
+        SELECT itemID AS key,
+               '{{"itemID":"' || itemID || '","currentStock":' || CAST(currentStock AS VARCHAR) || '}}' AS value
+        FROM ({_stock(TX_LINEITEM)})
+    """
+    q["inventory_trace"] = f"""
+        SELECT id, itemID, '{{ itemID: ' || itemID || ' -> ' || CAST(currentStock AS VARCHAR) AS line
+        FROM ({_changelog(TX_EVENTS)})
+    """
+    q["record_trace"] = f'SELECT topic, partition, "offset", key, value FROM ({ITEM_MESSAGES})'
+    q["first_event_by_key"] = f"""
+        SELECT key, topic, partition, "offset", value FROM ({ITEM_MESSAGES})
+        WHERE key IS NOT NULL AND key <> ''
+        QUALIFY row_number() OVER (PARTITION BY key ORDER BY partition, "offset") = 1
+    """
+    q["first_event_by_payload"] = f"""
+        SELECT json_extract_string(value, '$.sku') AS match, topic, partition, "offset", key, value
+        FROM ({ITEM_MESSAGES})
+        WHERE json_extract_string(value, '$.sku') IS NOT NULL
+        QUALIFY row_number() OVER (PARTITION BY json_extract_string(value, '$.sku')
+                                   ORDER BY partition, "offset") = 1
+    """
+    q["item_stock_stream"] = _stock(valid)
+    q["item_stock_replay"] = _stock(valid)
+    q["item_changelog_stream"] = _changelog(valid)
+    q["stock_point_lookup"] = f"""
+        SELECT s.itemID, s.currentStock FROM ({_stock(valid)}) s
+        WHERE s.itemID IN (SELECT 'Item-' || CAST(p_partkey AS VARCHAR) FROM part)
+    """
+
+
+_base_oracle = oracle_sql
+
+
+def oracle_sql() -> dict[str, str]:  # noqa: F811
+    q = _base_oracle()
+    _more(q)
+    return q

@@ -44,10 +44,10 @@ def _case(col: str, mapping: dict[str, str]):
     return expr.otherwise(F.lit(None).cast("string"))
 
 
-def item_tx_events(events: DataFrame) -> DataFrame:
-    """Item transactions from ``events`` (schema = ``schema.TRANSACTION``)."""
+def tx_events_columns() -> list:
+    """Column expressions over ``events`` giving an item transaction."""
     k = F.get_json_object(F.col("props"), "$.k")
-    return events.select(
+    return [
         F.col("event_id").alias("id"),
         F.concat(F.lit(STORE_PREFIX), F.col("user_id").cast("string")).alias("storeName"),
         F.when(k == NULL_SKU_PROP, F.lit(None).cast("string"))
@@ -57,7 +57,12 @@ def item_tx_events(events: DataFrame) -> DataFrame:
         _case("event_type", EVENT_TYPE_TO_TX_TYPE).alias("type"),
         F.col("value").alias("price"),
         iso_text("ts").alias("timestamp"),
-    )
+    ]
+
+
+def item_tx_events(events: DataFrame) -> DataFrame:
+    """Item transactions from ``events`` (schema = ``schema.TRANSACTION``)."""
+    return events.select(*tx_events_columns())
 
 
 def item_tx_lineitem(lineitem: DataFrame) -> DataFrame:
