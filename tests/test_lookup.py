@@ -1,0 +1,74 @@
+"""Lookups (J1, T8), finders (P4, P5) and traces (K3, P6, P7)."""
+
+from skuflow import item_changelog, item_stock, store_item_stock
+from skuflow.operators.lookup import (
+    as_query_result,
+    first_event_by_key,
+    first_event_by_payload,
+    stock_lookup,
+    store_stock_lookup,
+)
+from skuflow.operators.trace import inventory_trace, record_trace, stamp_transactions
+from skuflow.schema import ENVELOPE
+
+G9 = [
+    ("Store-1", "Item-1", "RESTOCK", 6, 33.2),
+    ("Store-2", "Item-1", "RESTOCK", 5, 30.2),
+    ("Store-1", "Item-1", "SALE", 2, 33.2),
+    ("Store-2", "Item-1", "SALE", 3, 30.2),
+]
+
+
+def test_stock_lookup_found_and_not_found(spark, tx):
+    req = spark.createDataFrame([("Item-1",), ("Item-9",), (None,)], "itemID string")
+    got = {r.itemID: (r.found, r.currentStock) for r in stock_lookup(item_stock(tx(G9)), req).collect()}
+    assert got == {"Item-1": (True, 6), "Item-9": (False, None), None: (False, None)}
+    res = {r.itemID: r.result for r in as_query_result(stock_lookup(item_stock(tx(G9)), req)).collect()}
+    assert res["Item-9"] is None and res["Item-1"].currentStock == 6
+
+
+def test_store_stock_lookup(spark, tx):
+    req = spark.createDataFrame([("Store-1",), ("Store-7",)], "storeName string")
+    got = sorted(tuple(r) for r in store_stock_lookup(store_item_stock(tx(G9)), req).collect())
+    assert got == [("Store-1", True, "Item-1", 4), ("Store-7", False, None, None)]
+
+
+def _env(spark):
+    rows = [
+        ("items", 1, 0, "Store-1", '{"payload":{"sku":"A"}}'),
+        ("items", 0, 5, "Store-1", '{"payload":{"sku":"B"}}'),
+        ("items", 0, 2, "Store-2", '{"payload":{"sku":"A"}}'),
+        ("items", 0, 3, "", '{"payload":{"sku":"C"}}'),
+    ]
+    return spark.createDataFrame(rows, ENVELOPE)
+
+
+def test_first_event_by_key(spark):
+    got = {r.key: (r.partition, r.offset) for r in first_event_by_key(_env(spark)).collect()}
+    assert got == {"Store-1": (0, 5), "Store-2": (0, 2)}  # empty key never matches
+    keys = spark.createDataFrame([("Store-2",), ("",)], "key string")
+    assert [r.key for r in first_event_by_key(_env(spark), keys).collect()] == ["Store-2"]
+
+
+def test_first_event_by_payload(spark):
+    got = {r.match: r.offset for r in first_event_by_payload(_env(spark), "sku").collect()}
+    assert got == {"A": 2, "B": 5, "C": 3}
+
+
+def test_inventory_trace_line(tx):
+    lines = [r.line for r in inventory_trace(item_changelog(tx(G9))).orderBy("id").collect()]
+    assert lines == ["{ itemID: Item-1 -> 6", "{ itemID: Item-1 -> 11", "{ itemID: Item-1 -> 9", "{ itemID: Item-1 -> 6"]
+
+
+def test_record_trace_decodes_bytes(spark):
+    df = spark.createDataFrame([("items", 0, 1, bytearray(b"k"), bytearray("{\"é\":1}".encode()))],
+                               "topic string, partition int, offset long, key binary, value binary")
+    r = record_trace(df).first()
+    assert (r.key, r.value) == ("k", '{"é":1}')
+
+
+def test_stamp_keeps_given_timestamp(spark, tx):
+    df = tx([("s", "A", "SALE", 1)]).withColumn("timestamp", __import__("pyspark.sql.functions", fromlist=["x"]).lit("2021-04-14T06:06:34"))
+    assert stamp_transactions(df).first().timestamp == "2021-04-14T06:06:34"
+    fresh = stamp_transactions(tx([("s", "A", "SALE", 1)])).first().timestamp
+    assert fresh is not None and "T" in fresh
