@@ -46,7 +46,12 @@ def _parse(envelope: DataFrame) -> DataFrame:
     parsed = F.from_json(
         v, _PARSE_SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
     )
-    keys = F.json_object_keys(v)
+    # Parse once per record behind a Generate: a filter on the decode result
+    # cannot be pushed below it, so Catalyst never inlines (and re-runs) the
+    # JSON parse into every predicate and field that reads it.
+    once = envelope.select(
+        "*", F.inline(F.array(F.struct(parsed.alias("__j"), F.json_object_keys(v).alias("__keys"))))
+    )
     known = F.array(*[F.lit(f) for f in TRANSACTION_FIELDS])
     j = F.col("__j")
     qty, bad_qty = _integral(j["quantity"], INT_MIN, INT_MAX, "int")
@@ -62,9 +67,7 @@ def _parse(envelope: DataFrame) -> DataFrame:
         .when(bad_price, F.lit("bad price"))
     )
     return (
-        envelope.withColumn("__j", parsed)
-        .withColumn("__keys", keys)
-        .withColumn("__reason", reason)
+        once.withColumn("__reason", reason)
         .withColumn("__id", rid)
         .withColumn("__qty", F.coalesce(qty, F.lit(0)))
         .withColumn("__price", price)

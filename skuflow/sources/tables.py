@@ -50,9 +50,8 @@ def tx_events_columns() -> list:
     return [
         F.col("event_id").alias("id"),
         F.concat(F.lit(STORE_PREFIX), F.col("user_id").cast("string")).alias("storeName"),
-        F.when(k == NULL_SKU_PROP, F.lit(None).cast("string"))
-        .otherwise(F.concat(F.lit(ITEM_PREFIX), k))
-        .alias("sku"),
+        # one JSON lookup per row: nullif(k, "0") is null for "no SKU"
+        F.concat(F.lit(ITEM_PREFIX), F.nullif(k, F.lit(NULL_SKU_PROP))).alias("sku"),
         F.floor(F.col("value")).cast("int").alias("quantity"),
         _case("event_type", EVENT_TYPE_TO_TX_TYPE).alias("type"),
         F.col("value").alias("price"),
