@@ -28,6 +28,8 @@ DEFAULT_BLOCK_WIDTH = 1 << 20
 # Width, in order units, of one emission batch of the compacted changelog
 # (the batch analogue of one micro-batch of ``maxOffsetsPerTrigger`` records).
 DEFAULT_BATCH_WIDTH = 1000
+# Block of rows whose order value is null: sorts before every real block.
+NULL_ORDER_BLOCK = -(2**63)
 
 
 def floor_div(order: str, width: int):
@@ -45,24 +47,30 @@ def running_sum(
 ) -> DataFrame:
     """Skew-safe ``sum(value) over (partition by keys order by order rows unbounded preceding)``.
 
-    ``order`` must be a non-null integral column; ties are summed in an
-    arbitrary order, as with the plain window.
+    ``order`` should be integral; ties are summed in an arbitrary order, as
+    with the plain window. Null keys form their own group and null order
+    values come first (NULLS FIRST), as with the plain window; no row is
+    ever dropped.
     """
     keys = list(keys)
-    blk = "__block"
-    with_block = df.withColumn(blk, floor_div(order, block_width))
-    totals = with_block.groupBy(*keys, blk).agg(F.sum(value).alias("__block_total"))
-    before = Window.partitionBy(*keys).orderBy(blk).rowsBetween(Window.unboundedPreceding, -1)
+    kk, blk = "__kk", "__block"
+    # Keys travel as one struct: struct equality matches null fields, so the
+    # join keeps null-key rows, and the join and the window share one
+    # hash partitioning on (__kk, __block) — the big side is shuffled once.
+    with_block = df.withColumn(kk, F.struct(*keys)).withColumn(
+        blk, F.coalesce(floor_div(order, block_width), F.lit(NULL_ORDER_BLOCK).cast("long"))
+    )
+    totals = with_block.groupBy(kk, blk).agg(F.sum(value).alias("__block_total"))
+    before = Window.partitionBy(kk).orderBy(blk).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
-        *keys,
+        kk,
         blk,
         F.coalesce(F.sum("__block_total").over(before), F.lit(0)).cast("long").alias("__offset"),
     )
-    inside = Window.partitionBy(*keys, blk).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    # Keys are never null here (callers drop them), so an inner equi-join is exact.
-    joined = with_block.join(offsets, on=[*keys, blk], how="inner")
+    inside = Window.partitionBy(kk, blk).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    joined = with_block.join(offsets, on=[kk, blk], how="inner")
     return joined.withColumn(out, (F.col("__offset") + F.sum(value).over(inside)).cast("long")).drop(
-        blk, "__offset"
+        kk, blk, "__offset"
     )
 
 
@@ -76,7 +84,7 @@ def running_stock(
     keep = [c for c in ("id", "storeName") if c in tx.columns]
     if order not in keep:
         keep.append(order)
-    d = signed_delta(tx, keep=keep).where(F.col("itemID").isNotNull())
+    d = signed_delta(tx, keep=keep).where(F.col("itemID").isNotNull())  # null SKU: dropped (P3)
     out = running_sum(d, keys, order, "delta", "currentStock", block_width)
     return out.select(*[c for c in keep if c not in keys], *keys, "delta", "currentStock")
 

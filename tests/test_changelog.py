@@ -82,3 +82,21 @@ def test_hot_key_is_spread_over_blocks(spark):
     assert out.agg(F.max("s")).first()[0] == 4000
     blocks = df.select(F.expr("(o - pmod(o, 500)) div 500").alias("b")).distinct().count()
     assert blocks == 8
+
+
+def test_null_store_and_null_order_rows_are_kept(spark):
+    from skuflow.schema import TRANSACTION
+
+    rows = [
+        (0, None, "A", 5, "RESTOCK", None, None),
+        (1, None, "A", 2, "SALE", None, None),
+        (None, "s", "A", 1, "RESTOCK", None, None),
+        (2, "s", "A", 4, "RESTOCK", None, None),
+    ]
+    df = spark.createDataFrame(rows, TRANSACTION)
+    got = sorted((r.id if r.id is not None else -1, r.storeName, r.currentStock)
+                 for r in store_item_changelog(df, block_width=1).collect())
+    # null store is its own group; the null-order row comes first in its group
+    assert got == [(-1, "s", 1), (0, None, 5), (1, None, 3), (2, "s", 5)]
+    items = sorted((r.id if r.id is not None else -1, r.currentStock) for r in item_changelog(df).collect())
+    assert items == [(-1, 1), (0, 6), (1, 4), (2, 8)]
