@@ -13,6 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from skuflow.operators import changelog as ch
 from skuflow.operators import lookup as lk
 from skuflow.operators import stock as st
+from skuflow.operators import trace as tr
+from skuflow.plans.streams import STREAMS
+from skuflow.sources import codec as cd
+from skuflow.sources import messages as ms
 from skuflow.sources import tables as tb
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,10 +64,6 @@ def q_store_stock_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- codec, traces, finders ------------------------------------------------
 
-from skuflow.operators import trace as tr  # noqa: E402
-from skuflow.sources import codec as cd  # noqa: E402
-from skuflow.sources import messages as ms  # noqa: E402
-
 
 def q_decode_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cd.decode_transactions(ms.events_messages(spark, sf_dir), "permissive")
@@ -101,8 +101,6 @@ def q_stamp_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tr.stamp_transactions(tb.lineitem_transactions(spark, sf_dir))
 
 
-from skuflow.plans.streams import STREAMS as _STREAMS  # noqa: E402
-
 _BATCH = {
     "decode_transactions": q_decode_transactions,
     "quarantine_transactions": q_quarantine_transactions,
@@ -128,5 +126,5 @@ def queries() -> dict[str, Query]:
         "stock_lookup": q_stock_lookup,
         "store_stock_lookup": q_store_stock_lookup,
         **_BATCH,
-        **_STREAMS,
+        **STREAMS,
     }

@@ -34,30 +34,6 @@ TX_LINEITEM = """
 
 DELTA = "CASE WHEN type = 'SALE' THEN -CAST(coalesce(quantity, 0) AS BIGINT) ELSE CAST(coalesce(quantity, 0) AS BIGINT) END"
 
-# Messages on the item topic (file stand-in), one per event: page views carry
-# their raw props (a foreign payload), everything else a transaction JSON with
-# null fields omitted. partition = user_id mod 3, offset = event_id.
-MESSAGES = f"""
-    SELECT 'items' AS topic,
-           CAST(user_id % 3 AS INTEGER) AS partition,
-           id AS "offset",
-           storeName AS key,
-           CASE WHEN event_type = 'view' THEN props_text ELSE
-             '{{' || concat_ws(',',
-                 '"id":' || CAST(id AS VARCHAR),
-                 '"storeName":"' || storeName || '"',
-                 CASE WHEN sku IS NOT NULL THEN '"sku":"' || sku || '"' END,
-                 CASE WHEN quantity IS NOT NULL THEN '"quantity":' || CAST(quantity AS VARCHAR) END,
-                 CASE WHEN type IS NOT NULL THEN '"type":"' || type || '"' END,
-                 CASE WHEN price IS NOT NULL THEN '"price":' || CAST(price AS VARCHAR) END,
-                 '"timestamp":"' || timestamp || '"') || '}}'
-           END AS value,
-           event_type, id, storeName, sku, quantity, type, price, timestamp
-    FROM (SELECT t.*, e.user_id, e.props AS props_text
-          FROM ({TX_EVENTS}) t JOIN events e ON e.event_id = t.id)
-"""
-
-
 def _stock(src: str) -> str:
     return f"""
         SELECT sku AS itemID, CAST(sum({DELTA}) AS BIGINT) AS currentStock
@@ -81,11 +57,7 @@ def _changelog(src: str) -> str:
     """
 
 
-VALID_MESSAGES_TX = f"SELECT * FROM ({TX_EVENTS}) WHERE event_type <> 'view'"
-
-
-def oracle_sql() -> dict[str, str]:
-    q: dict[str, str] = {}
+def _batch(q: dict[str, str]) -> None:
     q["item_stock"] = _stock(TX_LINEITEM)
     q["store_item_stock"] = _store_stock(TX_LINEITEM)
     q["signed_delta"] = f"""
@@ -124,7 +96,6 @@ def oracle_sql() -> dict[str, str]:
         FROM (SELECT 'Store-' || CAST(c_custkey AS VARCHAR) AS storeName FROM customer) r
         LEFT JOIN ({_store_stock(TX_EVENTS)}) s ON r.storeName = s.storeName
     """
-    return q
 
 
 def _json_str(field: str, expr: str) -> str:
@@ -160,7 +131,7 @@ ITEM_MESSAGES = f"""
 """
 
 
-def _more(q: dict[str, str]) -> None:
+def _codec_and_streams(q: dict[str, str]) -> None:
     valid = f"SELECT * FROM ({TX_EVENTS}) WHERE event_type <> 'view'"
     q["decode_transactions"] = f"""
         SELECT topic, partition, "offset", id, storeName, sku, quantity, type, price, timestamp
@@ -202,10 +173,8 @@ def _more(q: dict[str, str]) -> None:
     """
 
 
-_base_oracle = oracle_sql
-
-
-def oracle_sql() -> dict[str, str]:  # noqa: F811
-    q = _base_oracle()
-    _more(q)
+def oracle_sql() -> dict[str, str]:
+    q: dict[str, str] = {}
+    _batch(q)
+    _codec_and_streams(q)
     return q
