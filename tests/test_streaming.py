@@ -93,3 +93,43 @@ def test_g11_new_checkpoint_replays_everything(spark):
     P.run_to_end(P.item_stock_query(read_topic_files(spark, src, streaming=True), other))
     for p in (src_paths, other):
         assert {r.itemID: r.currentStock for r in P.stock_snapshot(spark, p).collect()} == {"Item-1": 3}
+
+
+def test_stream_equals_batch_on_random_input(spark):
+    import random
+
+    from skuflow import item_changelog
+    from skuflow.sources.codec import decode_transactions
+
+    rnd = random.Random(11)
+    rows = [_msg(i, f"Store-{rnd.randint(0, 3)}", f"Item-{rnd.choice([0, 1, 1, 1, 2])}",
+                 rnd.choice(["SALE", "RESTOCK", "ADJUST"]), rnd.randint(0, 20)) for i in range(120)]
+    paths = P.StreamPaths(scratch_path(spark, "t-eq"))
+    src = f"{paths.root}/topic"
+    for lo in range(0, 120, 40):  # three deliveries, three runs
+        _deliver(spark, src, rows[lo:lo + 40])
+        P.run_to_end(P.item_changelog_query(read_topic_files(spark, src, streaming=True), paths, block_width=8))
+        P.run_to_end(P.item_stock_query(read_topic_files(spark, src, streaming=True), paths))
+    batch_tx = decode_transactions(spark.createDataFrame(rows, ENVELOPE), "strict")
+    want = sorted(tuple(r) for r in item_changelog(batch_tx).collect())
+    got = sorted(tuple(r) for r in P.read_changelog(spark, paths).select("id", "itemID", "currentStock").collect())
+    assert got == want
+    final = {r.itemID: r.currentStock for r in P.stock_snapshot(spark, paths).collect()}
+    last = {}
+    for i, item, v in sorted(want):
+        last[item] = v
+    assert final == last
+
+
+def test_console_trace_sink_runs(spark, capsys):
+    from skuflow.operators.stock import item_stock
+    from skuflow.sources.codec import decode_transactions
+    from skuflow.streaming.sinks import console_trace_sink
+
+    paths = P.StreamPaths(scratch_path(spark, "t-console"))
+    src = f"{paths.root}/topic"
+    _deliver(spark, src, G9)
+    stock = item_stock(decode_transactions(read_topic_files(spark, src, streaming=True)))
+    q = console_trace_sink(stock, f"{paths.root}/checkpoint/console").trigger(availableNow=True).start()
+    P.run_to_end(q)
+    assert q.lastProgress["numInputRows"] == 4
