@@ -166,6 +166,7 @@ def _codec_and_streams(q: dict[str, str]) -> None:
     """
     q["item_stock_stream"] = _stock(valid)
     q["item_stock_replay"] = _stock(valid)
+    q["store_item_stock_stream"] = _store_stock(valid)
     q["item_changelog_stream"] = _changelog(valid)
     q["stock_point_lookup"] = f"""
         SELECT s.itemID, s.currentStock FROM ({_stock(valid)}) s

@@ -62,6 +62,14 @@ def q_item_stock_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.stock_snapshot(spark, run_stock_stream(spark, sf_dir, "item_stock_stream"))
 
 
+def q_store_item_stock_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths, src = _source(spark, "store_item_stock_stream")
+    for seg in deliveries(ms.events_messages(spark, sf_dir), 2):
+        ms.topic_to_files(seg, src, mode="append")
+        P.run_to_end(P.store_item_stock_query(_stream(spark, src), paths))
+    return P.store_stock_snapshot(spark, paths)
+
+
 def q_item_stock_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two deliveries on one checkpoint, then a rerun with nothing new: the
     restart resumes (no message counted twice) and the rerun adds nothing."""
@@ -95,6 +103,7 @@ def q_store_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 STREAMS = {
     "item_stock_stream": q_item_stock_stream,
     "item_changelog_stream": q_item_changelog_stream,
+    "store_item_stock_stream": q_store_item_stock_stream,
     "item_stock_replay": q_item_stock_replay,
     "stock_point_lookup": q_stock_point_lookup,
     "store_metadata": q_store_metadata,

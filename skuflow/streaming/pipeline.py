@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skuflow.operators.changelog import DEFAULT_BLOCK_WIDTH, running_sum
-from skuflow.operators.stock import item_stock, signed_delta
+from skuflow.operators.stock import item_stock, signed_delta, store_item_stock
 from skuflow.sources.codec import decode_transactions, quarantine_transactions
 from skuflow.streaming.sinks import (
     batch_dir,
@@ -63,6 +63,14 @@ class StreamPaths:
     def stock_log(self) -> str:
         return f"{self.root}/tables/item_stock_log"
 
+    @property
+    def store_stock_checkpoint(self) -> str:
+        return f"{self.root}/checkpoint/store_item_stock"
+
+    @property
+    def store_stock_log(self) -> str:
+        return f"{self.root}/tables/store_item_stock_log"
+
     @property
     def changelog_checkpoint(self) -> str:
         return f"{self.root}/checkpoint/item_changelog"
@@ -109,6 +117,26 @@ def item_stock_query(
         return _trigger(writer, available_now, interval).start()
 
 
+def store_item_stock_query(
+    envelope_stream: DataFrame,
+    paths: StreamPaths,
+    available_now: bool = True,
+    interval: str | None = None,
+    state_partitions: int | None = None,
+):
+    """Continuous stock per store and item: one event per changed (store, item)
+    per micro-batch, logged per batch id like the per-item stock."""
+    spark = envelope_stream.sparkSession
+    stock = store_item_stock(decode_transactions(envelope_stream, "permissive"))
+    writer = (
+        stock.writeStream.outputMode("update")
+        .option("checkpointLocation", paths.store_stock_checkpoint)
+        .foreachBatch(snapshot_writer(paths.store_stock_log))
+    )
+    with _state_partitions(spark, state_partitions or spark.sparkContext.defaultParallelism):
+        return _trigger(writer, available_now, interval).start()
+
+
 def quarantine_query(envelope_stream: DataFrame, paths: StreamPaths, available_now: bool = True,
                      interval: str | None = None):
     """Corrupt records of the stream, appended to a quarantine table."""
@@ -127,6 +155,11 @@ def stock_snapshot(spark: SparkSession, paths: StreamPaths) -> DataFrame:
     return compact_latest(read_snapshot_log(spark, paths.stock_log), ["itemID"])
 
 
+def store_stock_snapshot(spark: SparkSession, paths: StreamPaths) -> DataFrame:
+    """Current stock per store and item from its snapshot log."""
+    return compact_latest(read_snapshot_log(spark, paths.store_stock_log), ["storeName", "itemID"])
+
+
 def changelog_batch(
     spark: SparkSession,
     batch: DataFrame,
