@@ -104,10 +104,15 @@ def item_stock_query(
     available_now: bool = True,
     interval: str | None = None,
     state_partitions: int | None = None,
+    policy: str = "permissive",
 ):
-    """Start the continuous per-item stock aggregate; returns the StreamingQuery."""
+    """Start the continuous per-item stock aggregate; returns the StreamingQuery.
+
+    ``policy="strict"`` fails the query on the first corrupt record (the
+    original behaviour); ``"permissive"`` skips it (see :func:`quarantine_query`).
+    """
     spark = envelope_stream.sparkSession
-    stock = item_stock(decode_transactions(envelope_stream, "permissive"))
+    stock = item_stock(decode_transactions(envelope_stream, policy))
     writer = (
         stock.writeStream.outputMode("update")
         .option("checkpointLocation", paths.stock_checkpoint)
@@ -123,11 +128,12 @@ def store_item_stock_query(
     available_now: bool = True,
     interval: str | None = None,
     state_partitions: int | None = None,
+    policy: str = "permissive",
 ):
     """Continuous stock per store and item: one event per changed (store, item)
     per micro-batch, logged per batch id like the per-item stock."""
     spark = envelope_stream.sparkSession
-    stock = store_item_stock(decode_transactions(envelope_stream, "permissive"))
+    stock = store_item_stock(decode_transactions(envelope_stream, policy))
     writer = (
         stock.writeStream.outputMode("update")
         .option("checkpointLocation", paths.store_stock_checkpoint)

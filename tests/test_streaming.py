@@ -133,3 +133,30 @@ def test_console_trace_sink_runs(spark, capsys):
     q = console_trace_sink(stock, f"{paths.root}/checkpoint/console").trigger(availableNow=True).start()
     P.run_to_end(q)
     assert q.lastProgress["numInputRows"] == 4
+
+
+def test_inventory_app_on_files(spark):
+    from skuflow.streaming.app import AppConfig, start
+
+    root = scratch_path(spark, "t-app")
+    src = f"{root}/topic"
+    _deliver(spark, src, G9 + [("items", 0, 4, "x", '{"StoreName":"store_1","quantity": 1}')])
+    qs = start(spark, AppConfig(input_path=src, output_path=f"{root}/out", available_now=True))
+    for q in qs.values():
+        P.run_to_end(q)
+    paths = P.StreamPaths(f"{root}/out")
+    assert {r.itemID: r.currentStock for r in P.stock_snapshot(spark, paths).collect()} == {"Item-1": 6}
+    assert [r.reason for r in spark.read.parquet(paths.quarantine).collect()] == ["unknown field"]
+
+
+def test_inventory_app_strict_fails_on_corrupt(spark):
+    import pytest
+
+    from skuflow.streaming.app import AppConfig, start
+
+    root = scratch_path(spark, "t-app-strict")
+    src = f"{root}/topic"
+    _deliver(spark, src, G9 + [("items", 0, 4, "x", "not json")])
+    qs = start(spark, AppConfig(input_path=src, output_path=f"{root}/out", available_now=True, policy="strict"))
+    with pytest.raises(Exception, match="corrupt item transaction"):
+        P.run_to_end(qs["inventory"])
