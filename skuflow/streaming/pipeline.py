@@ -175,7 +175,11 @@ def changelog_batch(
 ) -> None:
     """Process one micro-batch of decoded transactions (every-change contract)."""
     prev = batch_dir(paths.totals, batch_id - 1)
-    if batch_id > 0 and path_exists(spark, prev):
+    if batch_id > 0:
+        if not path_exists(spark, prev):
+            # Batches of a query run with consecutive ids and each writes its
+            # totals, so a gap means lost state: fail rather than restart at 0.
+            raise RuntimeError(f"changelog state missing: no totals for batch {batch_id - 1} at {prev}")
         prior = spark.read.parquet(prev).select("itemID", F.col("currentStock").alias("__prior"))
     else:
         prior = spark.createDataFrame([], "itemID string, __prior long")
