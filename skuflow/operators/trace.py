@@ -15,11 +15,16 @@ def inventory_trace(changes: DataFrame, keep: tuple[str, ...] = ("id",)) -> Data
     return changes.select(*keep, "itemID", trace_line("itemID", "currentStock").alias("line"))
 
 
-def record_trace(envelope: DataFrame) -> DataFrame:
-    """Topic, partition, offset, key and UTF-8 value of each record."""
-    return envelope.select(
+def record_trace(envelope: DataFrame, ordered: bool = True) -> DataFrame:
+    """Topic, partition, offset, key and UTF-8 value of each record.
+
+    ``ordered`` gives the scan in (topic, partition, offset) order — a
+    distributed range-partitioned sort, never a driver-side one.
+    """
+    out = envelope.select(
         "topic", "partition", "offset", utf8("key").alias("key"), utf8("value").alias("value")
     )
+    return out.orderBy("topic", "partition", "offset") if ordered else out
 
 
 def stamp_transactions(tx: DataFrame) -> DataFrame:

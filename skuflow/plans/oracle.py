@@ -167,6 +167,13 @@ def _codec_and_streams(q: dict[str, str]) -> None:
     q["item_stock_stream"] = _stock(valid)
     q["item_stock_replay"] = _stock(valid)
     q["store_item_stock_stream"] = _store_stock(valid)
+    q["seeded_stock_stream"] = f"""
+        SELECT itemID, CAST(sum(delta) AS BIGINT) AS currentStock FROM (
+            SELECT itemID, currentStock AS delta FROM ({_stock(TX_LINEITEM)})
+            UNION ALL
+            SELECT sku AS itemID, {DELTA} AS delta FROM ({valid}) WHERE sku IS NOT NULL
+        ) GROUP BY itemID
+    """
     q["item_changelog_stream"] = _changelog(valid)
     q["stock_point_lookup"] = f"""
         SELECT s.itemID, s.currentStock FROM ({_stock(valid)}) s

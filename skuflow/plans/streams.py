@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skuflow.config import scratch_path
+from skuflow.operators.stock import item_stock
 from skuflow.sources import messages as ms
 from skuflow.sources import tables as tb
 from skuflow.streaming import pipeline as P
@@ -70,6 +71,12 @@ def q_store_item_stock_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.store_stock_snapshot(spark, paths)
 
 
+def q_seeded_stock_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # opening balance = stock booked from order lines; the stream adds the events
+    opening = item_stock(tb.lineitem_transactions(spark, sf_dir))
+    return P.seeded_stock_snapshot(spark, run_stock_stream(spark, sf_dir, "seeded_stock_stream"), opening)
+
+
 def q_item_stock_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two deliveries on one checkpoint, then a rerun with nothing new: the
     restart resumes (no message counted twice) and the rerun adds nothing."""
@@ -104,6 +111,7 @@ STREAMS = {
     "item_stock_stream": q_item_stock_stream,
     "item_changelog_stream": q_item_changelog_stream,
     "store_item_stock_stream": q_store_item_stock_stream,
+    "seeded_stock_stream": q_seeded_stock_stream,
     "item_stock_replay": q_item_stock_replay,
     "stock_point_lookup": q_stock_point_lookup,
     "store_metadata": q_store_metadata,

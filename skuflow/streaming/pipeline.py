@@ -161,6 +161,19 @@ def stock_snapshot(spark: SparkSession, paths: StreamPaths) -> DataFrame:
     return compact_latest(read_snapshot_log(spark, paths.stock_log), ["itemID"])
 
 
+def seeded_stock_snapshot(spark: SparkSession, paths: StreamPaths, opening: DataFrame) -> DataFrame:
+    """Stream stock on top of an opening balance: opening + streamed total per item.
+
+    Both sides are one row per item, combined as union + one aggregate (the
+    batch ``seeded_stock`` rule); the stream itself keeps plain sums.
+    """
+    streamed = stock_snapshot(spark, paths)
+    both = opening.where(F.col("itemID").isNotNull()).select("itemID", F.col("currentStock").cast("long")).unionByName(
+        streamed.select("itemID", F.col("currentStock").cast("long"))
+    )
+    return both.groupBy("itemID").agg(F.sum("currentStock").alias("currentStock"))
+
+
 def store_stock_snapshot(spark: SparkSession, paths: StreamPaths) -> DataFrame:
     """Current stock per store and item from its snapshot log."""
     return compact_latest(read_snapshot_log(spark, paths.store_stock_log), ["storeName", "itemID"])
