@@ -66,7 +66,7 @@ def start(spark: SparkSession, cfg: AppConfig) -> dict[str, object]:
     if cfg.kafka_options:
         stock = item_stock(decode_transactions(_source(spark, cfg), cfg.policy))
         w = kafka_inventory_sink(stock, cfg.output_topic, cfg.kafka_options, paths.stock_checkpoint)
-        queries["inventory"] = P._trigger(w, cfg.available_now, cfg.trigger_interval).start()
+        queries["inventory"] = P.with_trigger(w, cfg.available_now, cfg.trigger_interval).start()
     else:
         queries["inventory"] = P.item_stock_query(
             _source(spark, cfg), paths, cfg.available_now, cfg.trigger_interval, policy=cfg.policy
@@ -74,7 +74,7 @@ def start(spark: SparkSession, cfg: AppConfig) -> dict[str, object]:
     if cfg.console:
         stock = item_stock(decode_transactions(_source(spark, cfg), "permissive"))
         w = console_trace_sink(stock, f"{root}/checkpoint/console")
-        queries["console"] = P._trigger(w, cfg.available_now, cfg.trigger_interval).start()
+        queries["console"] = P.with_trigger(w, cfg.available_now, cfg.trigger_interval).start()
     if cfg.policy == "permissive":
         queries["quarantine"] = P.quarantine_query(_source(spark, cfg), paths, cfg.available_now,
                                                    cfg.trigger_interval)

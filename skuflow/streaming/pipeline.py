@@ -92,7 +92,7 @@ class StreamPaths:
         return f"{self.root}/tables/quarantine"
 
 
-def _trigger(writer, available_now: bool, interval: str | None):
+def with_trigger(writer, available_now: bool, interval: str | None):
     if available_now:
         return writer.trigger(availableNow=True)
     return writer.trigger(processingTime=interval or "10 seconds")
@@ -119,7 +119,7 @@ def item_stock_query(
         .foreachBatch(snapshot_writer(paths.stock_log))
     )
     with _state_partitions(spark, state_partitions or spark.sparkContext.defaultParallelism):
-        return _trigger(writer, available_now, interval).start()
+        return with_trigger(writer, available_now, interval).start()
 
 
 def store_item_stock_query(
@@ -140,7 +140,7 @@ def store_item_stock_query(
         .foreachBatch(snapshot_writer(paths.store_stock_log))
     )
     with _state_partitions(spark, state_partitions or spark.sparkContext.defaultParallelism):
-        return _trigger(writer, available_now, interval).start()
+        return with_trigger(writer, available_now, interval).start()
 
 
 def quarantine_query(envelope_stream: DataFrame, paths: StreamPaths, available_now: bool = True,
@@ -153,7 +153,7 @@ def quarantine_query(envelope_stream: DataFrame, paths: StreamPaths, available_n
         .option("path", paths.quarantine)
         .option("checkpointLocation", paths.quarantine_checkpoint)
     )
-    return _trigger(writer, available_now, interval).start()
+    return with_trigger(writer, available_now, interval).start()
 
 
 def stock_snapshot(spark: SparkSession, paths: StreamPaths) -> DataFrame:
@@ -229,7 +229,7 @@ def item_changelog_query(
         changelog_batch(batch.sparkSession, batch, batch_id, paths, block_width)
 
     writer = tx.writeStream.option("checkpointLocation", paths.changelog_checkpoint).foreachBatch(process)
-    return _trigger(writer, available_now, interval).start()
+    return with_trigger(writer, available_now, interval).start()
 
 
 def read_changelog(spark: SparkSession, paths: StreamPaths) -> DataFrame:
