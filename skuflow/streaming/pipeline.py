@@ -184,9 +184,16 @@ def changelog_batch(
     batch: DataFrame,
     batch_id: int,
     paths: StreamPaths,
-    block_width: int = DEFAULT_BLOCK_WIDTH,
+    block_width: int | None = None,
 ) -> None:
-    """Process one micro-batch of decoded transactions (every-change contract)."""
+    """Process one micro-batch of decoded transactions (every-change contract).
+
+    Rows are ordered by topic offset. Offsets repeat across topic
+    partitions, so a block of ``W`` offsets can hold ``W × partitions``
+    rows; with ``block_width=None`` the width is set per batch to
+    ``DEFAULT_BLOCK_WIDTH // partitions`` to keep blocks at about
+    ``DEFAULT_BLOCK_WIDTH`` rows (the width never changes results).
+    """
     prev = batch_dir(paths.totals, batch_id - 1)
     if batch_id > 0:
         if not path_exists(spark, prev):
@@ -198,6 +205,9 @@ def changelog_batch(
         prior = spark.createDataFrame([], "itemID string, __prior long")
     batch = batch.persist()
     try:
+        if block_width is None:
+            parts = batch.agg(F.countDistinct("partition")).first()[0] or 1
+            block_width = max(1, DEFAULT_BLOCK_WIDTH // parts)
         d = signed_delta(batch, keep=("id", "offset")).where(F.col("itemID").isNotNull())
         run = running_sum(d, ["itemID"], "offset", "delta", "__run", block_width)
         # prior is one row per item; AQE broadcasts it only under the size threshold.
@@ -220,10 +230,10 @@ def item_changelog_query(
     paths: StreamPaths,
     available_now: bool = True,
     interval: str | None = None,
-    block_width: int = DEFAULT_BLOCK_WIDTH,
+    block_width: int | None = None,
 ):
     """Start the every-change changelog stream; returns the StreamingQuery."""
-    tx = decode_transactions(envelope_stream, "permissive", keep=("offset",))
+    tx = decode_transactions(envelope_stream, "permissive", keep=("partition", "offset"))
 
     def process(batch: DataFrame, batch_id: int) -> None:
         changelog_batch(batch.sparkSession, batch, batch_id, paths, block_width)
