@@ -36,19 +36,36 @@ from skuflow.streaming.sinks import (
 )
 
 
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 @contextmanager
-def _state_partitions(spark: SparkSession, n: int | None):
-    """Shuffle partitions are frozen into a stateful checkpoint on its first
-    run; the query clones the session conf at start, so set it only then."""
-    if not n:
-        yield
-        return
-    old = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+def _state_conf(spark: SparkSession, partitions: int | None, state_store: str = "rocksdb"):
+    """Session settings a stateful query pins into its checkpoint on its first
+    run (state partitions, state store provider). The query clones the
+    session conf when it starts, so they are set only around ``start()``.
+
+    ``state_store="rocksdb"`` keeps state off the JVM heap and spills to local
+    disk, with changelog checkpointing (small uploads per batch);
+    ``"session"`` keeps whatever the session is configured with.
+    """
+    conf: dict[str, str] = {}
+    if partitions:
+        conf["spark.sql.shuffle.partitions"] = str(partitions)
+    if state_store == "rocksdb":
+        conf["spark.sql.streaming.stateStore.providerClass"] = ROCKSDB_PROVIDER
+        conf["spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"] = "true"
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.set("spark.sql.shuffle.partitions", old)
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
 
 @dataclass
@@ -105,6 +122,7 @@ def item_stock_query(
     interval: str | None = None,
     state_partitions: int | None = None,
     policy: str = "permissive",
+    state_store: str = "rocksdb",
 ):
     """Start the continuous per-item stock aggregate; returns the StreamingQuery.
 
@@ -118,7 +136,7 @@ def item_stock_query(
         .option("checkpointLocation", paths.stock_checkpoint)
         .foreachBatch(snapshot_writer(paths.stock_log))
     )
-    with _state_partitions(spark, state_partitions or spark.sparkContext.defaultParallelism):
+    with _state_conf(spark, state_partitions or spark.sparkContext.defaultParallelism, state_store):
         return with_trigger(writer, available_now, interval).start()
 
 
@@ -129,6 +147,7 @@ def store_item_stock_query(
     interval: str | None = None,
     state_partitions: int | None = None,
     policy: str = "permissive",
+    state_store: str = "rocksdb",
 ):
     """Continuous stock per store and item: one event per changed (store, item)
     per micro-batch, logged per batch id like the per-item stock."""
@@ -139,7 +158,7 @@ def store_item_stock_query(
         .option("checkpointLocation", paths.store_stock_checkpoint)
         .foreachBatch(snapshot_writer(paths.store_stock_log))
     )
-    with _state_partitions(spark, state_partitions or spark.sparkContext.defaultParallelism):
+    with _state_conf(spark, state_partitions or spark.sparkContext.defaultParallelism, state_store):
         return with_trigger(writer, available_now, interval).start()
 
 
