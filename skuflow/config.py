@@ -41,20 +41,32 @@ def checkpoint_root(spark: SparkSession) -> str:
     folder is created and registered as the context's checkpoint dir.
     """
     global _FALLBACK_ROOT
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir", None
-    )
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if conf_dir:
         return conf_dir.rstrip("/")
-    ctx_dir = spark.sparkContext.getCheckpointDir()
-    if ctx_dir:
-        return ctx_dir.rstrip("/")
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - sessions without a local context
+        sc = None
+    if sc is not None:
+        ctx_dir = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+        if ctx_dir:
+            return ctx_dir.rstrip("/")
     if _FALLBACK_ROOT is None:
         _FALLBACK_ROOT = tempfile.mkdtemp(prefix="skuflow-ckpt-")
-        spark.sparkContext.setCheckpointDir(_FALLBACK_ROOT)
+        if sc is not None:
+            sc.setCheckpointDir(_FALLBACK_ROOT)
     return _FALLBACK_ROOT
 
 
+def default_parallelism(spark: SparkSession) -> int:
+    """Cores the cluster offers (fallback: the session's shuffle partitions)."""
+    try:
+        return int(spark.sparkContext.defaultParallelism)
+    except Exception:  # noqa: BLE001
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint root."""
     return os.path.join(checkpoint_root(spark), "skuflow", f"{name}-{uuid.uuid4().hex[:12]}")

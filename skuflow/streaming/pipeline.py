@@ -23,6 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skuflow.config import default_parallelism
 from skuflow.operators.changelog import DEFAULT_BLOCK_WIDTH, running_sum
 from skuflow.operators.stock import item_stock, signed_delta, store_item_stock
 from skuflow.sources.codec import decode_transactions, quarantine_transactions
@@ -136,7 +137,7 @@ def item_stock_query(
         .option("checkpointLocation", paths.stock_checkpoint)
         .foreachBatch(snapshot_writer(paths.stock_log))
     )
-    with _state_conf(spark, state_partitions or spark.sparkContext.defaultParallelism, state_store):
+    with _state_conf(spark, state_partitions or default_parallelism(spark), state_store):
         return with_trigger(writer, available_now, interval).start()
 
 
@@ -158,7 +159,7 @@ def store_item_stock_query(
         .option("checkpointLocation", paths.store_stock_checkpoint)
         .foreachBatch(snapshot_writer(paths.store_stock_log))
     )
-    with _state_conf(spark, state_partitions or spark.sparkContext.defaultParallelism, state_store):
+    with _state_conf(spark, state_partitions or default_parallelism(spark), state_store):
         return with_trigger(writer, available_now, interval).start()
 
 
