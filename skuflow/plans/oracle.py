@@ -167,6 +167,12 @@ def _codec_and_streams(q: dict[str, str]) -> None:
     q["item_stock_stream"] = _stock(valid)
     q["item_stock_replay"] = _stock(valid)
     q["store_item_stock_stream"] = _store_stock(valid)
+    q["store_item_changelog_stream"] = f"""
+        SELECT id, storeName, sku AS itemID,
+               CAST(sum({DELTA}) OVER (PARTITION BY storeName, sku ORDER BY id
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS currentStock
+        FROM ({valid}) WHERE sku IS NOT NULL
+    """
     q["seeded_stock_stream"] = f"""
         SELECT itemID, CAST(sum(delta) AS BIGINT) AS currentStock FROM (
             SELECT itemID, currentStock AS delta FROM ({_stock(TX_LINEITEM)})

@@ -97,6 +97,14 @@ def q_item_changelog_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.read_changelog(spark, paths)
 
 
+def q_store_item_changelog_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths, src = _source(spark, "store_item_changelog_stream")
+    for seg in deliveries(ms.events_messages(spark, sf_dir), 2):
+        ms.topic_to_files(seg, src, mode="append")
+        P.run_to_end(P.item_changelog_query(_stream(spark, src), paths, keys=P.STORE_ITEM_KEYS))
+    return P.read_changelog(spark, paths, keys=P.STORE_ITEM_KEYS)
+
+
 def q_stock_point_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = run_stock_stream(spark, sf_dir, "stock_point_lookup")
     return S.stock_point_lookup(spark, paths.stock_checkpoint, tb.item_requests(spark, sf_dir))
@@ -111,6 +119,7 @@ STREAMS = {
     "item_stock_stream": q_item_stock_stream,
     "item_changelog_stream": q_item_changelog_stream,
     "store_item_stock_stream": q_store_item_stock_stream,
+    "store_item_changelog_stream": q_store_item_changelog_stream,
     "seeded_stock_stream": q_seeded_stock_stream,
     "item_stock_replay": q_item_stock_replay,
     "stock_point_lookup": q_stock_point_lookup,

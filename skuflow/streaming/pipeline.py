@@ -37,6 +37,8 @@ from skuflow.streaming.sinks import (
 )
 
 
+ITEM_KEYS = ("itemID",)
+STORE_ITEM_KEYS = ("storeName", "itemID")
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -101,6 +103,26 @@ class StreamPaths:
     def totals(self) -> str:
         return f"{self.root}/tables/item_totals"
 
+    @property
+    def store_changelog_checkpoint(self) -> str:
+        return f"{self.root}/checkpoint/store_item_changelog"
+
+    @property
+    def store_changelog(self) -> str:
+        return f"{self.root}/tables/store_item_changelog"
+
+    @property
+    def store_totals(self) -> str:
+        return f"{self.root}/tables/store_item_totals"
+
+    def changelog_paths(self, keys: tuple[str, ...]) -> tuple[str, str, str]:
+        """(checkpoint, changelog table, totals table) of a changelog keyed by ``keys``."""
+        if tuple(keys) == ITEM_KEYS:
+            return self.changelog_checkpoint, self.changelog, self.totals
+        if tuple(keys) == STORE_ITEM_KEYS:
+            return self.store_changelog_checkpoint, self.store_changelog, self.store_totals
+        raise ValueError(f"unsupported changelog keys {keys!r}")
+
     @property
     def quarantine_checkpoint(self) -> str:
         return f"{self.root}/checkpoint/quarantine"
@@ -205,6 +227,7 @@ def changelog_batch(
     batch_id: int,
     paths: StreamPaths,
     block_width: int | None = None,
+    keys: tuple[str, ...] = ITEM_KEYS,
 ) -> None:
     """Process one micro-batch of decoded transactions (every-change contract).
 
@@ -214,35 +237,39 @@ def changelog_batch(
     ``DEFAULT_BLOCK_WIDTH // partitions`` to keep blocks at about
     ``DEFAULT_BLOCK_WIDTH`` rows (the width never changes results).
     """
-    prev = batch_dir(paths.totals, batch_id - 1)
+    keys = tuple(keys)
+    _, changelog_path, totals_path = paths.changelog_paths(keys)
+    prev = batch_dir(totals_path, batch_id - 1)
     if batch_id > 0:
         if not path_exists(spark, prev):
             # Batches of a query run with consecutive ids and each writes its
             # totals, so a gap means lost state: fail rather than restart at 0.
             raise RuntimeError(f"changelog state missing: no totals for batch {batch_id - 1} at {prev}")
-        prior = spark.read.parquet(prev).select("itemID", F.col("currentStock").alias("__prior"))
+        prior = spark.read.parquet(prev).select(*keys, F.col("currentStock").alias("__prior"))
     else:
-        prior = spark.createDataFrame([], "itemID string, __prior long")
+        prior = spark.createDataFrame([], ", ".join([f"{k} string" for k in keys] + ["__prior long"]))
     batch = batch.persist()
     try:
         if block_width is None:
             parts = batch.agg(F.countDistinct("partition")).first()[0] or 1
             block_width = max(1, DEFAULT_BLOCK_WIDTH // parts)
-        d = signed_delta(batch, keep=("id", "offset")).where(F.col("itemID").isNotNull())
-        run = running_sum(d, ["itemID"], "offset", "delta", "__run", block_width)
-        # prior is one row per item; AQE broadcasts it only under the size threshold.
-        rows = run.join(prior, "itemID", "left").select(
-            "id", "itemID", (F.coalesce(F.col("__prior"), F.lit(0)) + F.col("__run")).alias("currentStock")
+        d = signed_delta(batch, keep=("id", "offset", "storeName")).where(F.col("itemID").isNotNull())
+        run = running_sum(d, keys, "offset", "delta", "__run", block_width)
+        # prior has one row per key; AQE broadcasts it only under the size
+        # threshold. Keys are compared as one struct so a null store matches.
+        p = prior.select(F.struct(*keys).alias("__kk"), "__prior")
+        rows = run.withColumn("__kk", F.struct(*keys)).join(p, "__kk", "left").select(
+            "id", *keys, (F.coalesce(F.col("__prior"), F.lit(0)) + F.col("__run")).alias("currentStock")
         )
-        rows.write.mode("overwrite").parquet(batch_dir(paths.changelog, batch_id))
-        moves = d.groupBy("itemID").agg(F.sum("delta").alias("__prior"))
-        totals = prior.unionByName(moves).groupBy("itemID").agg(F.sum("__prior").cast("long").alias("currentStock"))
-        totals.write.mode("overwrite").parquet(batch_dir(paths.totals, batch_id))
+        rows.write.mode("overwrite").parquet(batch_dir(changelog_path, batch_id))
+        moves = d.groupBy(*keys).agg(F.sum("delta").alias("__prior"))
+        totals = prior.unionByName(moves).groupBy(*keys).agg(F.sum("__prior").cast("long").alias("currentStock"))
+        totals.write.mode("overwrite").parquet(batch_dir(totals_path, batch_id))
     finally:
         batch.unpersist()
     if batch_id > 1:
         # Only the previous version is needed to (re)run the next batch.
-        delete_path(spark, batch_dir(paths.totals, batch_id - 2))
+        delete_path(spark, batch_dir(totals_path, batch_id - 2))
 
 
 def item_changelog_query(
@@ -251,19 +278,23 @@ def item_changelog_query(
     available_now: bool = True,
     interval: str | None = None,
     block_width: int | None = None,
+    keys: tuple[str, ...] = ITEM_KEYS,
 ):
-    """Start the every-change changelog stream; returns the StreamingQuery."""
+    """Start the every-change changelog stream (per item, or per store and
+    item with ``keys=STORE_ITEM_KEYS``); returns the StreamingQuery."""
     tx = decode_transactions(envelope_stream, "permissive", keep=("partition", "offset"))
+    checkpoint, _, _ = paths.changelog_paths(tuple(keys))
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        changelog_batch(batch.sparkSession, batch, batch_id, paths, block_width)
+        changelog_batch(batch.sparkSession, batch, batch_id, paths, block_width, tuple(keys))
 
-    writer = tx.writeStream.option("checkpointLocation", paths.changelog_checkpoint).foreachBatch(process)
+    writer = tx.writeStream.option("checkpointLocation", checkpoint).foreachBatch(process)
     return with_trigger(writer, available_now, interval).start()
 
 
-def read_changelog(spark: SparkSession, paths: StreamPaths) -> DataFrame:
-    return spark.read.option("basePath", paths.changelog).parquet(paths.changelog).drop("batch_id")
+def read_changelog(spark: SparkSession, paths: StreamPaths, keys: tuple[str, ...] = ITEM_KEYS) -> DataFrame:
+    _, changelog_path, _ = paths.changelog_paths(tuple(keys))
+    return spark.read.option("basePath", changelog_path).parquet(changelog_path).drop("batch_id")
 
 
 def run_to_end(query) -> None:
