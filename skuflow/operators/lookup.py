@@ -5,6 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skuflow.operators.stock import item_stock, store_item_stock
+
+# Most request keys broadcast to every scan task; the bound is checked with
+# a bounded count before any broadcast (100k short keys ≈ a few MB).
+MAX_BROADCAST_KEYS = 100_000
+
+
+def _small_key_set(requests: DataFrame, col: str, max_keys: int) -> DataFrame | None:
+    """Distinct request keys if there are at most ``max_keys`` of them, else None.
+
+    The check reads at most ``max_keys + 1`` distinct keys, so it stays cheap
+    even when the request table is large.
+    """
+    keys = requests.select(col).where(F.col(col).isNotNull()).distinct()
+    if keys.limit(max_keys + 1).count() > max_keys:
+        return None
+    return keys
+
 
 def stock_lookup(stock: DataFrame, requests: DataFrame) -> DataFrame:
     """Answer a table of item IDs: ``itemID, found, currentStock``.
@@ -21,6 +39,30 @@ def stock_lookup(stock: DataFrame, requests: DataFrame) -> DataFrame:
     )
 
 
+def stock_lookup_tx(tx: DataFrame, requests: DataFrame, max_broadcast_keys: int = MAX_BROADCAST_KEYS) -> DataFrame:
+    """Bulk lookup straight from transactions: ``itemID, found, currentStock``.
+
+    With a request set of proven small size, transactions are first cut to
+    the requested SKUs by a broadcast left-semi join (a map-side filter), so
+    only those SKUs are summed and shuffled. Beyond the bound, the full
+    per-item stock is aggregated and left-joined (AQE picks the join).
+    """
+    keys = _small_key_set(requests, "itemID", max_broadcast_keys)
+    if keys is not None:
+        tx = tx.join(F.broadcast(keys.withColumnRenamed("itemID", "sku")), "sku", "left_semi")
+    return stock_lookup(item_stock(tx), requests)
+
+
+def store_stock_lookup_tx(
+    tx: DataFrame, stores: DataFrame, max_broadcast_keys: int = MAX_BROADCAST_KEYS
+) -> DataFrame:
+    """Store lookup straight from transactions (same size-checked pre-filter)."""
+    keys = _small_key_set(stores, "storeName", max_broadcast_keys)
+    if keys is not None:
+        tx = tx.join(F.broadcast(keys), "storeName", "left_semi")
+    return store_stock_lookup(store_item_stock(tx), stores)
+
+
 def as_query_result(lookup: DataFrame) -> DataFrame:
     """Nest a lookup into the reference's result shape: ``result`` struct or null."""
     return lookup.select(

@@ -53,13 +53,11 @@ def q_item_changelog_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_stock_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stock = st.item_stock(tb.events_transactions(spark, sf_dir))
-    return lk.stock_lookup(stock, tb.item_requests(spark, sf_dir))
+    return lk.stock_lookup_tx(tb.events_transactions(spark, sf_dir), tb.item_requests(spark, sf_dir))
 
 
 def q_store_stock_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stock = st.store_item_stock(tb.events_transactions(spark, sf_dir))
-    return lk.store_stock_lookup(stock, tb.store_requests(spark, sf_dir))
+    return lk.store_stock_lookup_tx(tb.events_transactions(spark, sf_dir), tb.store_requests(spark, sf_dir))
 
 
 # --- codec, traces, finders ------------------------------------------------
