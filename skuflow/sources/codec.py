@@ -25,16 +25,16 @@ _PARSE_SCHEMA = T.StructType(TRANSACTION_TEXT.fields + [T.StructField(_CORRUPT,
 
 
 def _num(text: Column) -> Column:
-    return (text).try_cast("double")
+    return text.try_cast("double")
 
 
 def _integral(text: Column, lo: int | None, hi: int | None, target: str) -> tuple[Column, Column]:
     """(value, is_bad) for an integral field given its JSON text."""
-    as_long = (text).try_cast("long")
+    as_long = text.try_cast("long")
     as_double = _num(text)
     # Fractions truncate toward zero like the reference's int/long coercion.
     trunc = F.when(as_double >= 0, F.floor(as_double)).otherwise(F.ceil(as_double))
-    value = F.coalesce(as_long, (trunc).try_cast("long"))
+    value = F.coalesce(as_long, trunc.try_cast("long"))
     bad = text.isNotNull() & value.isNull()
     if lo is not None:
         bad = bad | (value < F.lit(lo)) | (value > F.lit(hi))
