@@ -198,8 +198,20 @@ def quarantine_query(envelope_stream: DataFrame, paths: StreamPaths, available_n
     return with_trigger(writer, available_now, interval).start()
 
 
-def stock_snapshot(spark: SparkSession, paths: StreamPaths) -> DataFrame:
-    """Current stock per item from the snapshot log (latest batch wins)."""
+def stock_snapshot(spark: SparkSession, paths: StreamPaths, source: str = "log") -> DataFrame:
+    """Current stock per item: ``itemID, currentStock``.
+
+    ``source="log"`` compacts the per-batch snapshot log (latest batch wins;
+    the read grows with the number of batches). ``source="state"`` reads the
+    aggregate's state store as of the last committed batch: one row per
+    item, whatever the history length.
+    """
+    if source == "state":
+        from skuflow.streaming.state import read_stock_state
+
+        return read_stock_state(spark, paths.stock_checkpoint).select("itemID", "currentStock")
+    if source != "log":
+        raise ValueError(f"unknown source {source!r}")
     return compact_latest(read_snapshot_log(spark, paths.stock_log), ["itemID"])
 
 

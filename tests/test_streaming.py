@@ -64,6 +64,7 @@ def test_g10_g11_stock_stream_and_replay(spark):
     P.run_to_end(P.item_stock_query(read_topic_files(spark, src, streaming=True), paths))
     snap = {r.itemID: r.currentStock for r in P.stock_snapshot(spark, paths).collect()}
     assert snap == {"Item-1": 3, "Item-2": 20, "Item-3": 25}
+    assert {r.itemID: r.currentStock for r in P.stock_snapshot(spark, paths, source="state").collect()} == snap
     # update mode: the second batch only re-emitted the item it changed
     log = P.read_snapshot_log(spark, paths.stock_log)
     assert {r.itemID for r in log.where(F.col("batch_id") == 1).collect()} == {"Item-3"}
