@@ -4,7 +4,6 @@ import json
 
 import pytest
 from pyspark.errors import PySparkException
-from pyspark.sql.utils import AnalysisException  # noqa: F401
 
 from skuflow.schema import ENVELOPE
 from skuflow.sources.codec import (
