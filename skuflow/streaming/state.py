@@ -36,7 +36,8 @@ def stock_point_lookup(spark: SparkSession, checkpoint: str, requests: DataFrame
 def store_metadata(spark: SparkSession, checkpoint: str, topic: str = "items", operator_id: int = 0) -> DataFrame:
     """Which state partitions hold keys, per stateful operator.
 
-    ``storeName, operatorId, numPartitions, numKeys, partitions`` —
+    ``storeName, operatorId, operatorName, stateStoreName, numPartitions,
+    minBatchId, maxBatchId, numKeys, partitions`` —
     ``partitions`` is the sorted list of ``<topic>-<partition>`` names with
     at least one key (the reference lists topic partitions per host). Keys
     are counted per partition first, so the list is built from at most one
@@ -56,7 +57,9 @@ def store_metadata(spark: SparkSession, checkpoint: str, topic: str = "items", o
     )
     return (
         meta.where(F.col("operatorId") == operator_id)
-        .select(F.lit(STOCK_STORE_NAME).alias("storeName"), "operatorId", "numPartitions")
+        .select(F.lit(STOCK_STORE_NAME).alias("storeName"), "operatorId", "operatorName", "stateStoreName",
+                "numPartitions", "minBatchId", "maxBatchId")
         .join(held, "operatorId", "left")
-        .select("storeName", "operatorId", "numPartitions", "numKeys", "partitions")
+        .select("storeName", "operatorId", "operatorName", "stateStoreName", "numPartitions",
+                "minBatchId", "maxBatchId", "numKeys", "partitions")
     )

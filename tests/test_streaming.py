@@ -79,6 +79,7 @@ def test_g10_g11_stock_stream_and_replay(spark):
     assert at0 == {"Item-1": 3, "Item-2": 20}
     meta = S.store_metadata(spark, paths.stock_checkpoint).first()
     assert meta.storeName == "ItemStock" and meta.numKeys == 3 and len(meta.partitions) >= 1
+    assert (meta.stateStoreName, meta.minBatchId, meta.maxBatchId) == ("default", 0, 1)
     # the corrupt message is quarantined by the side query
     P.run_to_end(P.quarantine_query(read_topic_files(spark, src, streaming=True), paths))
     bad = spark.read.parquet(paths.quarantine).collect()
