@@ -37,28 +37,35 @@ def floor_div(order: str, width: int):
     return F.expr(f"(`{order}` - pmod(`{order}`, {int(width)})) div {int(width)}").cast("long")
 
 
+def _order_cols(order: str | Sequence[str]) -> list[str]:
+    return [order] if isinstance(order, str) else list(order)
+
+
 def running_sum(
     df: DataFrame,
     keys: Sequence[str],
-    order: str,
+    order: str | Sequence[str],
     value: str,
     out: str,
     block_width: int = DEFAULT_BLOCK_WIDTH,
 ) -> DataFrame:
     """Skew-safe ``sum(value) over (partition by keys order by order rows unbounded preceding)``.
 
-    ``order`` should be integral; ties are summed in an arbitrary order, as
-    with the plain window. Null keys form their own group and null order
-    values come first (NULLS FIRST), as with the plain window; no row is
-    ever dropped.
+    ``order`` is one column or several (e.g. Kafka's ``timestamp, partition,
+    offset``); blocks are cut on the first, which must be integral, so they
+    stay contiguous in the lexicographic order of all of them. Ties in the
+    full order are summed in an arbitrary order, as with the plain window.
+    Null keys form their own group and null order values come first (NULLS
+    FIRST), as with the plain window; no row is ever dropped.
     """
     keys = list(keys)
+    order = _order_cols(order)
     kk, blk = "__kk", "__block"
     # Keys travel as one struct: struct equality matches null fields, so the
     # join keeps null-key rows, and the join and the window share one
     # hash partitioning on (__kk, __block) — the big side is shuffled once.
     with_block = df.withColumn(kk, F.struct(*keys)).withColumn(
-        blk, F.coalesce(floor_div(order, block_width), F.lit(NULL_ORDER_BLOCK).cast("long"))
+        blk, F.coalesce(floor_div(order[0], block_width), F.lit(NULL_ORDER_BLOCK).cast("long"))
     )
     totals = with_block.groupBy(kk, blk).agg(F.sum(value).alias("__block_total"))
     before = Window.partitionBy(kk).orderBy(blk).rowsBetween(Window.unboundedPreceding, -1)
@@ -67,7 +74,7 @@ def running_sum(
         blk,
         F.coalesce(F.sum("__block_total").over(before), F.lit(0)).cast("long").alias("__offset"),
     )
-    inside = Window.partitionBy(kk, blk).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy(kk, blk).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     joined = with_block.join(offsets, on=[kk, blk], how="inner")
     return joined.withColumn(out, (F.col("__offset") + F.sum(value).over(inside)).cast("long")).drop(
         kk, blk, "__offset"
@@ -77,27 +84,31 @@ def running_sum(
 def running_stock(
     tx: DataFrame,
     keys: Sequence[str] = ("itemID",),
-    order: str = "id",
+    order: str | Sequence[str] = "id",
     block_width: int = DEFAULT_BLOCK_WIDTH,
 ) -> DataFrame:
     """Every change: one row per transaction with the new total of its key."""
+    order = _order_cols(order)
     keep = [c for c in ("id", "storeName") if c in tx.columns]
-    if order not in keep:
-        keep.append(order)
+    keep += [c for c in order if c not in keep]
     d = signed_delta(tx, keep=keep).where(F.col("itemID").isNotNull())  # null SKU: dropped (P3)
     out = running_sum(d, keys, order, "delta", "currentStock", block_width)
     return out.select(*[c for c in keep if c not in keys], *keys, "delta", "currentStock")
 
 
-def item_changelog(tx: DataFrame, order: str = "id", block_width: int = DEFAULT_BLOCK_WIDTH) -> DataFrame:
-    """``id, itemID, currentStock`` — the stock of the item after each transaction."""
-    return running_stock(tx, ["itemID"], order, block_width).select(order, "itemID", "currentStock")
+def item_changelog(
+    tx: DataFrame, order: str | Sequence[str] = "id", block_width: int = DEFAULT_BLOCK_WIDTH
+) -> DataFrame:
+    """``<order columns>, itemID, currentStock`` — the stock of the item after each transaction."""
+    return running_stock(tx, ["itemID"], order, block_width).select(*_order_cols(order), "itemID", "currentStock")
 
 
-def store_item_changelog(tx: DataFrame, order: str = "id", block_width: int = DEFAULT_BLOCK_WIDTH) -> DataFrame:
-    """``id, storeName, itemID, currentStock`` — per store and item, after each transaction."""
+def store_item_changelog(
+    tx: DataFrame, order: str | Sequence[str] = "id", block_width: int = DEFAULT_BLOCK_WIDTH
+) -> DataFrame:
+    """``<order columns>, storeName, itemID, currentStock`` — per store and item, after each transaction."""
     return running_stock(tx, ["storeName", "itemID"], order, block_width).select(
-        order, "storeName", "itemID", "currentStock"
+        *_order_cols(order), "storeName", "itemID", "currentStock"
     )
 
 

@@ -243,7 +243,7 @@ def changelog_batch(
 ) -> None:
     """Process one micro-batch of decoded transactions (every-change contract).
 
-    Rows are ordered by topic offset. Offsets repeat across topic
+    Rows are ordered by (topic offset, partition). Offsets repeat across topic
     partitions, so a block of ``W`` offsets can hold ``W × partitions``
     rows; with ``block_width=None`` the width is set per batch to
     ``DEFAULT_BLOCK_WIDTH // partitions`` to keep blocks at about
@@ -265,8 +265,10 @@ def changelog_batch(
         if block_width is None:
             parts = batch.agg(F.countDistinct("partition")).first()[0] or 1
             block_width = max(1, DEFAULT_BLOCK_WIDTH // parts)
-        d = signed_delta(batch, keep=("id", "offset", "storeName")).where(F.col("itemID").isNotNull())
-        run = running_sum(d, keys, "offset", "delta", "__run", block_width)
+        d = signed_delta(batch, keep=("id", "offset", "partition", "storeName")).where(F.col("itemID").isNotNull())
+        # (offset, partition): keeps each topic partition's order and breaks
+        # ties between partitions the same way on every (re)run of the batch
+        run = running_sum(d, keys, ["offset", "partition"], "delta", "__run", block_width)
         # prior has one row per key; AQE broadcasts it only under the size
         # threshold. Keys are compared as one struct so a null store matches.
         p = prior.select(F.struct(*keys).alias("__kk"), "__prior")

@@ -5,7 +5,7 @@ import random
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from skuflow import item_changelog, item_changelog_compacted, store_item_changelog
+from skuflow import item_changelog, item_changelog_compacted, running_stock, store_item_changelog
 from skuflow.operators.changelog import running_sum
 
 
@@ -100,3 +100,30 @@ def test_null_store_and_null_order_rows_are_kept(spark):
     assert got == [(-1, "s", 1), (0, None, 5), (1, None, 3), (2, "s", 5)]
     items = sorted((r.id if r.id is not None else -1, r.currentStock) for r in item_changelog(df).collect())
     assert items == [(-1, 1), (0, 6), (1, 4), (2, 8)]
+
+
+def test_changelog_with_composite_kafka_order(spark):
+    # (timestamp ms, partition, offset): equal timestamps are broken by partition, then offset
+    from pyspark.sql import types as T
+
+    from skuflow.schema import TRANSACTION
+
+    rows = [  # id, store, sku, quantity, type, ts_ms, partition, offset
+        (10, "s", "A", 5, "RESTOCK", 1000, 1, 7),
+        (11, "s", "A", 2, "SALE", 1000, 0, 9),
+        (12, "s", "A", 1, "SALE", 999, 2, 3),
+        (13, "s", "A", 4, "RESTOCK", 1000, 1, 8),
+    ]
+    df = spark.createDataFrame(
+        [(r[0], r[1], r[2], r[3], r[4], None, None, r[5], r[6], r[7]) for r in rows],
+        T.StructType(TRANSACTION.fields + [T.StructField("ts_ms", T.LongType()),
+                                           T.StructField("partition", T.IntegerType()),
+                                           T.StructField("offset", T.LongType())]),
+    )
+    order = ["ts_ms", "partition", "offset"]
+    # sequence: 12 (-1), 11 (-2), 10 (+5), 13 (+4)
+    for w in (1, 1000, 1 << 20):
+        got = {r.id: r.currentStock for r in running_stock(df, ["itemID"], order, w).collect()}
+        assert got == {12: -1, 11: -3, 10: 2, 13: 6}
+    cl = item_changelog(df, order=order)
+    assert cl.columns == ["ts_ms", "partition", "offset", "itemID", "currentStock"]
