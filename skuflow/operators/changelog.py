@@ -117,16 +117,20 @@ def item_changelog_compacted(
     order: str = "id",
     batch_width: int = DEFAULT_BATCH_WIDTH,
     block_width: int = DEFAULT_BLOCK_WIDTH,
+    keys: Sequence[str] = ("itemID",),
 ) -> DataFrame:
-    """Compacted changelog: the last total per item per emission batch.
+    """Compacted changelog: the last total per key per emission batch.
 
-    ``batch = floor(order / batch_width)``. Output ``batch, itemID, id,
-    currentStock`` where ``id`` is the item's last transaction in the batch.
-    Built from per-(item, batch) totals, so no per-row window is needed.
+    ``batch = floor(order / batch_width)``. Output ``batch, <keys>, id,
+    currentStock`` where ``id`` is the key's last transaction in the batch
+    (``keys=("storeName", "itemID")`` gives it per store and item).
+    Built from per-(key, batch) totals, so no per-row window is needed.
     """
-    d = signed_delta(tx, keep=[order]).where(F.col("itemID").isNotNull())
-    per_batch = d.groupBy("itemID", floor_div(order, batch_width).alias("batch")).agg(
+    keys = list(keys)
+    keep = [order] + [k for k in keys if k != "itemID" and k != order]
+    d = signed_delta(tx, keep=keep).where(F.col("itemID").isNotNull())
+    per_batch = d.groupBy(*keys, floor_div(order, batch_width).alias("batch")).agg(
         F.sum("delta").alias("batch_delta"), F.max(order).alias(order)
     )
-    out = running_sum(per_batch, ["itemID"], "batch", "batch_delta", "currentStock", block_width)
-    return out.select("batch", "itemID", order, "currentStock")
+    out = running_sum(per_batch, keys, "batch", "batch_delta", "currentStock", block_width)
+    return out.select("batch", *keys, order, "currentStock")

@@ -127,3 +127,11 @@ def test_changelog_with_composite_kafka_order(spark):
         assert got == {12: -1, 11: -3, 10: 2, 13: 6}
     cl = item_changelog(df, order=order)
     assert cl.columns == ["ts_ms", "partition", "offset", "itemID", "currentStock"]
+
+
+def test_compacted_changelog_per_store_and_item(tx):
+    got = sorted(tuple(r) for r in item_changelog_compacted(tx(G9), batch_width=2, keys=("storeName", "itemID"))
+                 .collect())
+    # batch 0: ids 0 (s1 +6), 1 (s2 +5); batch 1: ids 2 (s1 -2), 3 (s2 -3)
+    assert got == [(0, "Store-1", "Item-1", 0, 6), (0, "Store-2", "Item-1", 1, 5),
+                   (1, "Store-1", "Item-1", 2, 4), (1, "Store-2", "Item-1", 3, 2)]
