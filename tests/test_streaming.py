@@ -243,3 +243,14 @@ def test_stock_stream_recovers_from_a_failed_sink_write(spark, monkeypatch):
     state = {r.itemID: r.currentStock for r in
              __import__("skuflow.streaming.state", fromlist=["x"]).read_stock_state(spark, paths.stock_checkpoint).collect()}
     assert state == {"Item-1": 6}
+
+
+def test_stream_plan_pre_aggregates_before_the_state_shuffle(spark):
+    paths = P.StreamPaths(scratch_path(spark, "t-plan"))
+    src = f"{paths.root}/topic"
+    _deliver(spark, src, G9)
+    q = P.item_stock_query(read_topic_files(spark, src, streaming=True), paths)
+    P.run_to_end(q)
+    plan = q._jsq.explainInternal(False)
+    assert "partial_sum" in plan and "StateStoreSave" in plan
+    assert plan.index("StateStoreSave") < plan.index("Exchange hashpartitioning(itemID") < plan.index("partial_sum")
