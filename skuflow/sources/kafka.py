@@ -73,21 +73,30 @@ def sasl_ssl_options(user: str = "", password: str = "", mechanism: str = "PLAIN
     return opts
 
 
-def envelope(raw: DataFrame) -> DataFrame:
-    """Kafka source rows → ``topic, partition, offset, key, value`` as text."""
-    return raw.select(
+def envelope(raw: DataFrame, with_timestamp: bool = False) -> DataFrame:
+    """Kafka source rows → ``topic, partition, offset, key, value`` as text.
+
+    ``with_timestamp`` also keeps the record timestamp as epoch milliseconds
+    (``ts_ms``), for changelogs ordered by ``(ts_ms, partition, offset)``.
+    """
+    cols = [
         "topic", "partition", "offset",
         F.col("key").cast("string").alias("key"),
         F.col("value").cast("string").alias("value"),
-    )
+    ]
+    if with_timestamp:
+        cols.append(F.unix_millis(F.col("timestamp")).alias("ts_ms"))
+    return raw.select(*cols)
 
 
-def read_topic(spark: SparkSession, topic: str, options: Mapping[str, str]) -> DataFrame:
+def read_topic(spark: SparkSession, topic: str, options: Mapping[str, str],
+               with_timestamp: bool = False) -> DataFrame:
     """Bounded scan of a topic, earliest to latest (batch)."""
     opts = dict(options)
     opts.setdefault("startingOffsets", "earliest")
     opts.setdefault("endingOffsets", "latest")
-    return envelope(spark.read.format("kafka").options(**opts).option("subscribe", topic).load())
+    raw = spark.read.format("kafka").options(**opts).option("subscribe", topic).load()
+    return envelope(raw, with_timestamp)
 
 
 def read_topic_stream(spark: SparkSession, topic: str, options: Mapping[str, str],

@@ -42,3 +42,18 @@ def test_sasl_options():
     assert 'username="u"' in o["kafka.sasl.jaas.config"] and "ScramLoginModule" in o["kafka.sasl.jaas.config"]
     assert o["kafka.ssl.truststore.location"] == "/certs/ca.pem"
     assert sasl_ssl_options() == {}
+
+
+def test_envelope_projection(spark):
+    import datetime
+
+    from skuflow.sources.kafka import envelope
+
+    raw = spark.createDataFrame(
+        [(bytearray(b"Store-1"), bytearray(b'{"sku":"A"}'), "items", 2, 7, datetime.datetime(2024, 1, 1))],
+        "key binary, value binary, topic string, partition int, offset long, timestamp timestamp",
+    )
+    r = envelope(raw, with_timestamp=True).first()
+    assert (r.topic, r.partition, r.offset, r.key, r.value) == ("items", 2, 7, "Store-1", '{"sku":"A"}')
+    assert r.ts_ms is not None
+    assert envelope(raw).columns == ["topic", "partition", "offset", "key", "value"]
