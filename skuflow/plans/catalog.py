@@ -79,6 +79,11 @@ def q_encode_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cd.encode_inventory(st.item_stock(tb.lineitem_transactions(spark, sf_dir)))
 
 
+def q_decode_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # the output topic read back: encode every item's stock, then decode it
+    return cd.decode_inventory(cd.encode_inventory(st.item_stock(tb.lineitem_transactions(spark, sf_dir))), "strict")
+
+
 def q_inventory_trace(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tr.inventory_trace(ch.item_changelog(tb.events_transactions(spark, sf_dir)))
 
@@ -104,6 +109,7 @@ _BATCH = {
     "quarantine_transactions": q_quarantine_transactions,
     "encode_transactions": q_encode_transactions,
     "encode_inventory": q_encode_inventory,
+    "decode_inventory": q_decode_inventory,
     "inventory_trace": q_inventory_trace,
     "record_trace": q_record_trace,
     "first_event_by_key": q_first_event_by_key,

@@ -147,6 +147,7 @@ def _codec_and_streams(q: dict[str, str]) -> None:
                '{{"itemID":"' || itemID || '","currentStock":' || CAST(currentStock AS VARCHAR) || '}}' AS value
         FROM ({_stock(TX_LINEITEM)})
     """
+    q["decode_inventory"] = _stock(TX_LINEITEM)
     q["inventory_trace"] = f"""
         SELECT id, itemID, '{{ itemID: ' || itemID || ' -> ' || CAST(currentStock AS VARCHAR) AS line
         FROM ({_changelog(TX_EVENTS)})

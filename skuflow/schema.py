@@ -14,6 +14,8 @@ INVENTORY_TOPIC = "item.inventory"
 STOCK_STORE_NAME = "ItemStock"
 # Field names of a transaction record, in declaration order.
 TRANSACTION_FIELDS = ("id", "storeName", "sku", "quantity", "type", "price", "timestamp")
+# Field names of an inventory record, in declaration order.
+INVENTORY_FIELDS = ("itemID", "currentStock")
 # Text layout of the console trace line of an inventory change (no closing brace).
 TRACE_FORMAT = "{ itemID: %s -> %d"
 # ISO-8601 local date-time text used to stamp transactions.

@@ -13,15 +13,44 @@ stops); ``permissive`` splits corrupt records into a quarantine frame.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skuflow.schema import TRANSACTION_FIELDS, TRANSACTION_TEXT
+from skuflow.schema import INVENTORY_FIELDS, TRANSACTION_FIELDS
 
 INT_MIN, INT_MAX = -(2**31), 2**31 - 1
 _CORRUPT = "_corrupt"
-_PARSE_SCHEMA = T.StructType(TRANSACTION_TEXT.fields + [T.StructField(_CORRUPT, T.StringType(), True)])
+
+
+@dataclass(frozen=True)
+class RecordSpec:
+    """What a JSON record may hold: its declared fields (anything else is
+    an unknown field), its integral fields ``(name, lo, hi, type)`` and its
+    floating fields, in the order their checks run."""
+
+    label: str
+    fields: tuple[str, ...]
+    integral: tuple[tuple[str, int | None, int | None, str], ...]
+    floating: tuple[str, ...] = ()
+
+    @property
+    def parse_schema(self) -> T.StructType:
+        return T.StructType(
+            [T.StructField(f, T.StringType(), True) for f in self.fields]
+            + [T.StructField(_CORRUPT, T.StringType(), True)]
+        )
+
+
+TRANSACTION_SPEC = RecordSpec(
+    "item transaction",
+    TRANSACTION_FIELDS,
+    (("quantity", INT_MIN, INT_MAX, "int"), ("id", None, None, "long")),
+    ("price",),
+)
+INVENTORY_SPEC = RecordSpec("inventory", INVENTORY_FIELDS, (("currentStock", None, None, "long"),))
 
 
 def _num(text: Column) -> Column:
@@ -41,10 +70,12 @@ def _integral(text: Column, lo: int | None, hi: int | None, target: str) -> tupl
     return F.when(~bad, value.cast(target)), bad
 
 
-def _parse(envelope: DataFrame) -> DataFrame:
+def _parse(envelope: DataFrame, spec: RecordSpec = TRANSACTION_SPEC) -> DataFrame:
+    """Envelope + ``__j`` (parsed struct), ``__keys``, ``__reason`` (null when
+    valid) and ``__<field>`` typed values of the numeric fields."""
     v = F.col("value").cast("string")
     parsed = F.from_json(
-        v, _PARSE_SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+        v, spec.parse_schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
     )
     # Parse once per record behind a Generate: a filter on the decode result
     # cannot be pushed below it, so Catalyst never inlines (and re-runs) the
@@ -52,26 +83,26 @@ def _parse(envelope: DataFrame) -> DataFrame:
     once = envelope.select(
         "*", F.inline(F.array(F.struct(parsed.alias("__j"), F.json_object_keys(v).alias("__keys"))))
     )
-    known = F.array(*[F.lit(f) for f in TRANSACTION_FIELDS])
+    known = F.array(*[F.lit(f) for f in spec.fields])
     j = F.col("__j")
-    qty, bad_qty = _integral(j["quantity"], INT_MIN, INT_MAX, "int")
-    rid, bad_id = _integral(j["id"], None, None, "long")
-    price = _num(j["price"])
-    bad_price = j["price"].isNotNull() & price.isNull()
     reason = (
         F.when(v.isNull(), F.lit("null value"))
         .when(j.isNull() | j[_CORRUPT].isNotNull() | F.col("__keys").isNull(), F.lit("not a JSON object"))
         .when(F.size(F.array_except(F.col("__keys"), known)) > 0, F.lit("unknown field"))
-        .when(bad_qty, F.lit("bad quantity"))
-        .when(bad_id, F.lit("bad id"))
-        .when(bad_price, F.lit("bad price"))
-    )
-    return (
-        once.withColumn("__reason", reason)
-        .withColumn("__id", rid)
-        .withColumn("__qty", F.coalesce(qty, F.lit(0)))
-        .withColumn("__price", price)
     )
+    values = {}
+    for name, lo, hi, target in spec.integral:
+        value, bad = _integral(j[name], lo, hi, target)
+        reason = reason.when(bad, F.lit(f"bad {name}"))
+        values[name] = value
+    for name in spec.floating:
+        value = _num(j[name])
+        reason = reason.when(j[name].isNotNull() & value.isNull(), F.lit(f"bad {name}"))
+        values[name] = value
+    out = once.withColumn("__reason", reason)
+    for name, value in values.items():
+        out = out.withColumn(f"__{name}", value)
+    return out
 
 
 def _decoded(df: DataFrame, keep: tuple[str, ...]) -> DataFrame:
@@ -81,7 +112,8 @@ def _decoded(df: DataFrame, keep: tuple[str, ...]) -> DataFrame:
         F.col("__id").alias("id"),
         j["storeName"].alias("storeName"),
         j["sku"].alias("sku"),
-        F.col("__qty").alias("quantity"),
+        # a primitive int: absent and null both read as 0
+        F.coalesce(F.col("__quantity"), F.lit(0)).alias("quantity"),
         j["type"].alias("type"),
         F.col("__price").alias("price"),
         j["timestamp"].alias("timestamp"),
@@ -91,36 +123,64 @@ def _decoded(df: DataFrame, keep: tuple[str, ...]) -> DataFrame:
 ENVELOPE_KEEP = ("topic", "partition", "offset")
 
 
+def _apply_policy(p: DataFrame, policy: str, label: str) -> DataFrame:
+    if policy == "strict":
+        ok = F.when(
+            F.col("__reason").isNotNull(),
+            F.raise_error(F.concat(F.lit(f"corrupt {label}: "), F.col("__reason"))),
+        ).otherwise(F.lit(True))
+        # the check sits in a filter, so column pruning can never drop it
+        return p.where(ok.cast("boolean"))
+    if policy != "permissive":
+        raise ValueError(f"unknown policy {policy!r}")
+    return p.where(F.col("__reason").isNull())
+
+
 def decode_transactions(
     envelope: DataFrame, policy: str = "permissive", keep: tuple[str, ...] = ENVELOPE_KEEP
 ) -> DataFrame:
     """Valid transactions from an envelope with a ``value`` column.
 
     ``keep`` envelope columns are carried through (for ordering / tracing).
-    ``strict``: the query fails on a corrupt record (raise inside a filter,
-    so column pruning can never drop the check). ``permissive``: corrupt
+    ``strict``: the query fails on a corrupt record. ``permissive``: corrupt
     records are skipped — read them with :func:`quarantine_transactions`.
     """
     keep = tuple(c for c in keep if c in envelope.columns)
-    p = _parse(envelope)
-    if policy == "strict":
-        ok = F.when(
-            F.col("__reason").isNotNull(),
-            F.raise_error(F.concat(F.lit("corrupt item transaction: "), F.col("__reason"))),
-        ).otherwise(F.lit(True))
-        return _decoded(p.where(ok.cast("boolean")), keep)
-    if policy != "permissive":
-        raise ValueError(f"unknown policy {policy!r}")
-    return _decoded(p.where(F.col("__reason").isNull()), keep)
+    return _decoded(_apply_policy(_parse(envelope, TRANSACTION_SPEC), policy, TRANSACTION_SPEC.label), keep)
 
 
 def quarantine_transactions(envelope: DataFrame) -> DataFrame:
     """Corrupt records with the first reason found: envelope columns + ``reason``."""
-    return _parse(envelope).where(F.col("__reason").isNotNull()).select(
+    return _quarantine(envelope, TRANSACTION_SPEC)
+
+
+def _quarantine(envelope: DataFrame, spec: RecordSpec) -> DataFrame:
+    return _parse(envelope, spec).where(F.col("__reason").isNotNull()).select(
         *envelope.columns, F.col("__reason").alias("reason")
     )
 
 
+def decode_inventory(
+    envelope: DataFrame, policy: str = "permissive", keep: tuple[str, ...] = ENVELOPE_KEEP
+) -> DataFrame:
+    """Inventory changes (the output topic) back to ``itemID, currentStock``.
+
+    ``currentStock`` is a boxed long defaulting to 0: an absent field reads
+    as 0, an explicit JSON null stays null.
+    """
+    keep = tuple(c for c in keep if c in envelope.columns)
+    p = _apply_policy(_parse(envelope, INVENTORY_SPEC), policy, INVENTORY_SPEC.label)
+    stock = F.when(F.array_contains(F.col("__keys"), "currentStock"), F.col("__currentStock")).otherwise(
+        F.lit(0).cast("long")
+    )
+    return p.select(*keep, F.col("__j")["itemID"].alias("itemID"), stock.alias("currentStock"))
+
+
+def quarantine_inventory(envelope: DataFrame) -> DataFrame:
+    """Corrupt inventory records with the first reason found."""
+    return _quarantine(envelope, INVENTORY_SPEC)
+
+
 def encode_transactions(tx: DataFrame, key: str = "storeName") -> DataFrame:
     """Keyed JSON publish: ``key`` = text of the key field, ``value`` = the record.
 

@@ -128,3 +128,25 @@ def test_encode_inventory_writes_nulls(spark):
     df = spark.createDataFrame([("A", 3), ("B", None)], "itemID string, currentStock long")
     got = {r.key: r.value for r in encode_inventory(df).collect()}
     assert got == {"A": '{"itemID":"A","currentStock":3}', "B": '{"itemID":"B","currentStock":null}'}
+
+
+def test_inventory_decode_round_trip_and_policy(spark):
+    from skuflow.sources.codec import decode_inventory, quarantine_inventory
+
+    stock = spark.createDataFrame([("Item-1", 5), ("Item-2", -3), ("Item-3", None)], "itemID string, currentStock long")
+    back = {r.itemID: r.currentStock for r in decode_inventory(encode_inventory(stock), "strict").collect()}
+    assert back == {"Item-1": 5, "Item-2": -3, "Item-3": None}
+    env = envelope(spark, [
+        '{"itemID":"A"}',  # absent stock: the record's default 0
+        '{"itemID":"B","currentStock":null}',  # explicit null stays null
+        '{"itemID":"C","currentStock":"7"}',  # quoted number
+        '{"itemID":"D","currentStock":1,"extra":1}',
+        '{"itemID":"E","currentStock":"lots"}',
+        "[]",
+    ])
+    good = {r.itemID: r.currentStock for r in decode_inventory(env).collect()}
+    assert good == {"A": 0, "B": None, "C": 7}
+    bad = {r.offset: r.reason for r in quarantine_inventory(env).collect()}
+    assert bad == {3: "unknown field", 4: "bad currentStock", 5: "not a JSON object"}
+    with pytest.raises(PySparkException, match="corrupt inventory"):
+        decode_inventory(env, "strict").collect()
