@@ -34,10 +34,6 @@ TRANSACTION = T.StructType(
     ]
 )
 
-# Decode schema: every field as text, so that quoted numbers, fractions and
-# out-of-range values can be told apart from absent ones before casting.
-TRANSACTION_TEXT = T.StructType([T.StructField(f, T.StringType(), True) for f in TRANSACTION_FIELDS])
-
 INVENTORY = T.StructType(
     [
         T.StructField("itemID", T.StringType(), True),
