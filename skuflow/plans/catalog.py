@@ -100,6 +100,13 @@ def q_first_event_by_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lk.first_event_by_payload(ms.events_messages(spark, sf_dir), "sku", path="$")
 
 
+def q_topic_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # a topic snapshot replayed in record-time order: (timestamp, partition, offset)
+    msgs = ms.events_messages(spark, sf_dir, with_timestamp=True)
+    tx = cd.decode_transactions(msgs, "permissive", keep=("partition", "offset", "ts_ms"))
+    return ch.item_changelog(tx, order=["ts_ms", "partition", "offset"])
+
+
 def q_stamp_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tr.stamp_transactions(tb.lineitem_transactions(spark, sf_dir))
 
@@ -115,6 +122,7 @@ _BATCH = {
     "first_event_by_key": q_first_event_by_key,
     "first_event_by_payload": q_first_event_by_payload,
     "stamp_transactions": q_stamp_transactions,
+    "topic_changelog": q_topic_changelog,
 }
 
 

@@ -126,6 +126,7 @@ ITEM_MESSAGES = f"""
     SELECT 'items' AS topic, CAST(e.user_id % 3 AS INTEGER) AS partition, t.id AS "offset",
            t.storeName AS key,
            CASE WHEN e.event_type = 'view' THEN e.props ELSE {TX_JSON} END AS value,
+           CAST(epoch_us(e.ts) // 1000 AS BIGINT) AS ts_ms,
            t.*
     FROM ({TX_EVENTS}) t JOIN events e ON e.event_id = t.id
 """
@@ -165,6 +166,12 @@ def _codec_and_streams(q: dict[str, str]) -> None:
         QUALIFY row_number() OVER (PARTITION BY json_extract_string(value, '$.sku')
                                    ORDER BY partition, "offset") = 1
     """
+    q["topic_changelog"] = f"""
+        SELECT ts_ms, partition, "offset", sku AS itemID,
+               CAST(sum({DELTA}) OVER (PARTITION BY sku ORDER BY ts_ms, partition, "offset"
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS currentStock
+        FROM ({ITEM_MESSAGES}) WHERE event_type <> 'view' AND sku IS NOT NULL
+    """
     q["item_stock_stream"] = _stock(valid)
     q["item_stock_replay"] = _stock(valid)
     q["store_item_stock_stream"] = _store_stock(valid)

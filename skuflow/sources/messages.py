@@ -21,13 +21,20 @@ FOREIGN_EVENT_TYPE = "view"  # these events carry props, not a transaction
 # ---------------------------------------------------------------------------
 
 
-def item_messages(events: DataFrame) -> DataFrame:
-    """Envelope ``topic, partition, offset, key, value`` (offset = event_id).
+# record time in epoch milliseconds, computed without any time-zone shift
+# (events.ts has no zone), truncating sub-millisecond digits like a producer clock
+EPOCH_MS = "timestampdiff(MILLISECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)"
+
+
+def item_messages(events: DataFrame, with_timestamp: bool = False) -> DataFrame:
+    """Envelope ``topic, partition, offset, key, value`` (offset = event_id),
+    plus ``ts_ms`` (record time, as the Kafka envelope gives it) on request.
 
     One projection over one scan: no join, no shuffle.
     """
     tx = tx_events_columns()
     store = tx[1]
+    extra = [F.expr(EPOCH_MS).alias("ts_ms")] if with_timestamp else []
     return events.select(
         F.lit(ITEMS_TOPIC).alias("topic"),
         F.pmod(F.col("user_id"), F.lit(TOPIC_PARTITIONS)).cast("int").alias("partition"),
@@ -36,11 +43,12 @@ def item_messages(events: DataFrame) -> DataFrame:
         F.when(F.col("event_type") == F.lit(FOREIGN_EVENT_TYPE), F.col("props"))
         .otherwise(F.to_json(F.struct(*tx)))
         .alias("value"),
+        *extra,
     )
 
 
-def events_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return item_messages(read_table(spark, sf_dir, "events"))
+def events_messages(spark: SparkSession, sf_dir: str, with_timestamp: bool = False) -> DataFrame:
+    return item_messages(read_table(spark, sf_dir, "events"), with_timestamp)
 
 
 def topic_to_files(envelope: DataFrame, path: str, mode: str = "errorifexists") -> None:
