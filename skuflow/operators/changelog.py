@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skuflow.operators.stock import signed_delta
@@ -114,23 +114,33 @@ def store_item_changelog(
 
 def item_changelog_compacted(
     tx: DataFrame,
-    order: str = "id",
+    order: str | Sequence[str] = "id",
     batch_width: int = DEFAULT_BATCH_WIDTH,
     block_width: int = DEFAULT_BLOCK_WIDTH,
     keys: Sequence[str] = ("itemID",),
+    batch: Column | None = None,
 ) -> DataFrame:
     """Compacted changelog: the last total per key per emission batch.
 
-    ``batch = floor(order / batch_width)``. Output ``batch, <keys>, id,
-    currentStock`` where ``id`` is the key's last transaction in the batch
-    (``keys=("storeName", "itemID")`` gives it per store and item).
-    Built from per-(key, batch) totals, so no per-row window is needed.
+    The batch is ``floor(order / batch_width)`` on the (first) order column,
+    or any ``batch`` expression that never decreases along the order (e.g.
+    a record-time interval). Output ``batch, <keys>, <order columns>,
+    currentStock``: the order columns are those of the key's last
+    transaction in the batch (``keys=("storeName", "itemID")`` gives it per
+    store and item). Built from per-(key, batch) totals, so no per-row
+    window is needed.
     """
     keys = list(keys)
-    keep = [order] + [k for k in keys if k != "itemID" and k != order]
+    order_cols = _order_cols(order)
+    keep = order_cols + [k for k in keys if k != "itemID" and k not in order_cols]
     d = signed_delta(tx, keep=keep).where(F.col("itemID").isNotNull())
-    per_batch = d.groupBy(*keys, floor_div(order, batch_width).alias("batch")).agg(
-        F.sum("delta").alias("batch_delta"), F.max(order).alias(order)
-    )
+    b = batch if batch is not None else floor_div(order_cols[0], batch_width)
+    if len(order_cols) == 1:
+        last = F.max(order_cols[0]).alias(order_cols[0])
+    else:
+        last = F.max(F.struct(*order_cols)).alias("__last")
+    per_batch = d.groupBy(*keys, b.alias("batch")).agg(F.sum("delta").alias("batch_delta"), last)
+    if len(order_cols) > 1:
+        per_batch = per_batch.select("*", *[F.col(f"__last.{c}").alias(c) for c in order_cols]).drop("__last")
     out = running_sum(per_batch, keys, "batch", "batch_delta", "currentStock", block_width)
-    return out.select("batch", *keys, order, "currentStock")
+    return out.select("batch", *keys, *order_cols, "currentStock")

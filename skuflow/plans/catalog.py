@@ -107,6 +107,20 @@ def q_topic_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ch.item_changelog(tx, order=["ts_ms", "partition", "offset"])
 
 
+# --- fixed value: the stream client's default commit interval, after which its
+# record cache emits the last value per key (the compacted update stream)
+COMMIT_INTERVAL_MS = 30000
+
+
+def q_topic_changelog_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # last total per item per commit interval of record time, in topic order
+    msgs = ms.events_messages(spark, sf_dir, with_timestamp=True)
+    tx = cd.decode_transactions(msgs, "permissive", keep=("partition", "offset", "ts_ms"))
+    return ch.item_changelog_compacted(
+        tx, order=["ts_ms", "partition", "offset"], batch=ch.floor_div("ts_ms", COMMIT_INTERVAL_MS)
+    )
+
+
 def q_stamp_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tr.stamp_transactions(tb.lineitem_transactions(spark, sf_dir))
 
@@ -123,6 +137,7 @@ _BATCH = {
     "first_event_by_payload": q_first_event_by_payload,
     "stamp_transactions": q_stamp_transactions,
     "topic_changelog": q_topic_changelog,
+    "topic_changelog_compacted": q_topic_changelog_compacted,
 }
 
 

@@ -172,6 +172,16 @@ def _codec_and_streams(q: dict[str, str]) -> None:
                     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS currentStock
         FROM ({ITEM_MESSAGES}) WHERE event_type <> 'view' AND sku IS NOT NULL
     """
+    q["topic_changelog_compacted"] = f"""
+        SELECT batch, itemID, ts_ms, partition, "offset", currentStock FROM (
+            SELECT CAST(floor(ts_ms / 30000) AS BIGINT) AS batch, sku AS itemID, ts_ms, partition, "offset",
+                   CAST(sum({DELTA}) OVER (PARTITION BY sku ORDER BY ts_ms, partition, "offset"
+                        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS currentStock,
+                   row_number() OVER (PARTITION BY sku, floor(ts_ms / 30000)
+                                      ORDER BY ts_ms DESC, partition DESC, "offset" DESC) AS rn
+            FROM ({ITEM_MESSAGES}) WHERE event_type <> 'view' AND sku IS NOT NULL
+        ) WHERE rn = 1
+    """
     q["item_stock_stream"] = _stock(valid)
     q["item_stock_replay"] = _stock(valid)
     q["store_item_stock_stream"] = _store_stock(valid)

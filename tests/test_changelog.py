@@ -135,3 +135,26 @@ def test_compacted_changelog_per_store_and_item(tx):
     # batch 0: ids 0 (s1 +6), 1 (s2 +5); batch 1: ids 2 (s1 -2), 3 (s2 -3)
     assert got == [(0, "Store-1", "Item-1", 0, 6), (0, "Store-2", "Item-1", 1, 5),
                    (1, "Store-1", "Item-1", 2, 4), (1, "Store-2", "Item-1", 3, 2)]
+
+
+def test_compacted_changelog_by_time_interval_and_composite_order(spark):
+    from pyspark.sql import types as T
+
+    from skuflow.operators.changelog import floor_div
+    from skuflow.schema import TRANSACTION
+
+    rows = [  # id, sku, quantity, type, ts_ms, partition, offset
+        (0, "A", 5, "RESTOCK", 1_000, 0, 0),
+        (1, "A", 2, "SALE", 29_999, 1, 0),  # same 30 s interval
+        (2, "A", 1, "SALE", 29_999, 0, 1),  # tie on time: partition 0 before 1
+        (3, "A", 4, "RESTOCK", 30_000, 0, 2),  # next interval
+    ]
+    schema = T.StructType(TRANSACTION.fields + [T.StructField("ts_ms", T.LongType()),
+                                               T.StructField("partition", T.IntegerType()),
+                                               T.StructField("offset", T.LongType())])
+    df = spark.createDataFrame([(r[0], "s", r[1], r[2], r[3], None, None, r[4], r[5], r[6]) for r in rows], schema)
+    out = item_changelog_compacted(df, order=["ts_ms", "partition", "offset"], batch=floor_div("ts_ms", 30_000),
+                                   block_width=1)
+    got = sorted(tuple(r) for r in out.collect())
+    # interval 0: order 0 (+5), 2 (-1), 1 (-2) -> last row is (29999, p1, o0) with 2; interval 1: +4 -> 6
+    assert got == [(0, "A", 29_999, 1, 0, 2), (1, "A", 30_000, 0, 2, 6)]
