@@ -15,16 +15,26 @@ def inventory_trace(changes: DataFrame, keep: tuple[str, ...] = ("id",)) -> Data
     return changes.select(*keep, "itemID", trace_line("itemID", "currentStock").alias("line"))
 
 
-def record_trace(envelope: DataFrame, ordered: bool = True) -> DataFrame:
+def record_trace(envelope: DataFrame, order: str = "within") -> DataFrame:
     """Topic, partition, offset, key and UTF-8 value of each record.
 
-    ``ordered`` gives the scan in (topic, partition, offset) order — a
-    distributed range-partitioned sort, never a driver-side one.
+    ``order``: ``"within"`` sorts each Spark partition by (topic, partition,
+    offset) — no shuffle; a Kafka scan reads each topic partition's offset
+    range into one Spark partition, so this is the per-partition order a
+    console consumer shows. ``"global"`` gives one total order (a
+    range-partitioned sort: a full shuffle, only when a single ordered
+    listing is needed). ``"none"`` leaves scan order.
     """
     out = envelope.select(
         "topic", "partition", "offset", utf8("key").alias("key"), utf8("value").alias("value")
     )
-    return out.orderBy("topic", "partition", "offset") if ordered else out
+    if order == "within":
+        return out.sortWithinPartitions("topic", "partition", "offset")
+    if order == "global":
+        return out.orderBy("topic", "partition", "offset")
+    if order != "none":
+        raise ValueError(f"unknown order {order!r}")
+    return out
 
 
 def stamp_transactions(tx: DataFrame) -> DataFrame:

@@ -85,3 +85,11 @@ def test_lookup_from_transactions_both_paths(spark, tx):
     for bound in (1, 100):
         got = sorted(tuple(r) for r in store_stock_lookup_tx(tx(G9), stores, bound).collect())
         assert got == [("Store-2", True, "Item-1", 2), ("Store-7", False, None, None)]
+
+
+def test_record_trace_orders(spark):
+    rows = [("items", 1, 5, "k", "v"), ("items", 0, 9, "k", "v"), ("items", 0, 2, "k", "v")]
+    env = spark.createDataFrame(rows, ENVELOPE).coalesce(1)
+    assert [(r.partition, r.offset) for r in record_trace(env).collect()] == [(0, 2), (0, 9), (1, 5)]
+    assert [(r.partition, r.offset) for r in record_trace(env, "global").collect()] == [(0, 2), (0, 9), (1, 5)]
+    assert "Exchange" not in record_trace(env)._jdf.queryExecution().executedPlan().toString()
