@@ -254,3 +254,27 @@ def test_stream_plan_pre_aggregates_before_the_state_shuffle(spark):
     plan = q._jsq.explainInternal(False)
     assert "partial_sum" in plan and "StateStoreSave" in plan
     assert plan.index("StateStoreSave") < plan.index("Exchange hashpartitioning(itemID") < plan.index("partial_sum")
+
+
+def test_state_settings_pinned_into_checkpoint_and_session_restored(spark):
+    import glob
+    import json as _json
+
+    hdfs = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before_provider, before_parts = spark.conf.get(key), spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set(key, hdfs)
+    try:
+        paths = P.StreamPaths(scratch_path(spark, "t-pin"))
+        src = f"{paths.root}/topic"
+        _deliver(spark, src, G9)
+        P.run_to_end(P.item_stock_query(read_topic_files(spark, src, streaming=True), paths, state_partitions=3))
+        assert spark.conf.get(key) == hdfs  # the session keeps its own setting
+        assert spark.conf.get("spark.sql.shuffle.partitions") == before_parts
+        offsets = sorted(glob.glob(paths.stock_checkpoint.replace("file:", "") + "/offsets/[0-9]*"))
+        conf = _json.loads(open(offsets[0]).read().splitlines()[1])["conf"]
+        assert conf[key].endswith("RocksDBStateStoreProvider")
+        assert conf["spark.sql.shuffle.partitions"] == "3"
+        assert S.store_metadata(spark, paths.stock_checkpoint).first().numPartitions == 3
+    finally:
+        spark.conf.set(key, before_provider)
