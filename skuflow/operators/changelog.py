@@ -57,6 +57,12 @@ def running_sum(
     full order are summed in an arbitrary order, as with the plain window.
     Null keys form their own group and null order values come first (NULLS
     FIRST), as with the plain window; no row is ever dropped.
+
+    ``df`` is evaluated twice (block totals, then rows), which for a parquet
+    scan is two column-pruned reads. When ``df`` is expensive to produce
+    (e.g. JSON decoded from a topic), persist it or write it to a table
+    under ``spark.checkpoint.dir`` first; the streaming changelog caches
+    each micro-batch for this reason.
     """
     keys = list(keys)
     order = _order_cols(order)
