@@ -118,5 +118,8 @@ def first_event_by_payload(envelope: DataFrame, name: str, path: str = "$.payloa
     The reference's helper looks at ``event["payload"][name]``; item
     messages carry the transaction at the root, so pass ``path="$"``.
     """
-    field = F.get_json_object(F.col("value"), f"{path}.{name}")
+    # bracket notation keeps names with dots, spaces or quotes intact
+    quoted = name.replace("\\", "\\\\").replace("'", "\\'")
+    step = f".{name}" if name.isidentifier() else f"['{quoted}']"
+    field = F.get_json_object(F.col("value"), f"{path}{step}")
     return _first(envelope, field, "match")

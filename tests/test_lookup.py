@@ -93,3 +93,10 @@ def test_record_trace_orders(spark):
     assert [(r.partition, r.offset) for r in record_trace(env).collect()] == [(0, 2), (0, 9), (1, 5)]
     assert [(r.partition, r.offset) for r in record_trace(env, "global").collect()] == [(0, 2), (0, 9), (1, 5)]
     assert "Exchange" not in record_trace(env)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_first_event_by_payload_odd_field_names(spark):
+    rows = [("items", 0, 1, "k", '{"payload":{"store.name":"S1"}}'), ("items", 0, 0, "k", '{"payload":{"store.name":"S1"}}')]
+    env = spark.createDataFrame(rows, ENVELOPE)
+    got = [(r.match, r.offset) for r in first_event_by_payload(env, "store.name").collect()]
+    assert got == [("S1", 0)]
