@@ -21,6 +21,8 @@ CLI::
 from __future__ import annotations
 
 import argparse
+import os
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -81,16 +83,38 @@ def start(spark: SparkSession, cfg: AppConfig) -> dict[str, object]:
     return queries
 
 
-def _read_properties(path: str | None) -> dict[str, str]:
+_PLACEHOLDER = re.compile(r"\$\{([A-Za-z_][A-Za-z0-9_.]*)(?::([^}]*))?\}")
+
+
+def expand(value: str, env: dict[str, str] | None = None) -> str:
+    """Expand ``${NAME}`` / ``${NAME:default}`` from the environment (secrets
+    such as SASL passwords stay out of the file); unknown names without a
+    default are left as written."""
+    env = os.environ if env is None else env
+
+    def sub(m: re.Match) -> str:
+        name, default = m.group(1), m.group(2)
+        if name in env:
+            return env[name]
+        return default if default is not None else m.group(0)
+
+    return _PLACEHOLDER.sub(sub, value)
+
+
+def read_properties(path: str | None, env: dict[str, str] | None = None) -> dict[str, str]:
+    """``key=value`` / ``key: value`` lines; ``#`` and ``!`` comments; placeholders expanded."""
     props: dict[str, str] = {}
     if not path:
         return props
     with open(path, encoding="utf-8") as fh:
         for line in fh:
             line = line.strip()
-            if line and not line.startswith("#") and "=" in line:
-                k, v = line.split("=", 1)
-                props[k.strip()] = v.strip()
+            if not line or line[0] in "#!":
+                continue
+            cut = min((i for i in (line.find("="), line.find(":")) if i > 0), default=-1)
+            if cut < 0:
+                continue
+            props[line[:cut].strip()] = expand(line[cut + 1 :].strip(), env)
     return props
 
 
@@ -108,7 +132,7 @@ def main(argv: list[str] | None = None) -> None:
     cfg = AppConfig(input_path=a.input_path, output_path=a.output_path, policy=a.policy,
                     console=a.console, available_now=a.available_now)
     if a.brokers or a.properties:
-        client = kf.client_properties(_read_properties(a.properties), a.brokers)
+        client = kf.client_properties(read_properties(a.properties), a.brokers)
         cfg.kafka_options = kf.spark_kafka_options(client)
         cfg.application_id = kf.checkpoint_name(client)
     qs = start(spark, cfg)

@@ -57,3 +57,24 @@ def test_envelope_projection(spark):
     assert (r.topic, r.partition, r.offset, r.key, r.value) == ("items", 2, 7, "Store-1", '{"sku":"A"}')
     assert r.ts_ms is not None
     assert envelope(raw).columns == ["topic", "partition", "offset", "key", "value"]
+
+
+def test_properties_file_with_placeholders(tmp_path):
+    from skuflow.sources.kafka import client_properties
+    from skuflow.streaming.app import expand, read_properties
+
+    f = tmp_path / "app.properties"
+    f.write_text(
+        "# comment\n"
+        "kafka.application.id=item-aggregator\n"
+        "kafka.ssl.truststore.password=${KAFKA_CERT_PWD}\n"
+        "kafka.client.id: ${POD_IP:localhost}\n"
+        "! another comment\n"
+        "kafka.sasl.jaas.config=${MISSING}\n"
+    )
+    props = read_properties(str(f), env={"KAFKA_CERT_PWD": "s3cret"})
+    assert props["kafka.ssl.truststore.password"] == "s3cret"
+    assert props["kafka.client.id"] == "localhost"
+    assert props["kafka.sasl.jaas.config"] == "${MISSING}"
+    assert client_properties(props)["ssl.truststore.password"] == "s3cret"
+    assert expand("${A}-${B:x}", {"A": "1"}) == "1-x"
