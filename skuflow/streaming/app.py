@@ -101,8 +101,14 @@ def expand(value: str, env: dict[str, str] | None = None) -> str:
     return _PLACEHOLDER.sub(sub, value)
 
 
-def read_properties(path: str | None, env: dict[str, str] | None = None) -> dict[str, str]:
-    """``key=value`` / ``key: value`` lines; ``#`` and ``!`` comments; placeholders expanded."""
+def read_properties(
+    path: str | None, env: dict[str, str] | None = None, profile: str | None = None
+) -> dict[str, str]:
+    """``key=value`` / ``key: value`` lines; ``#`` and ``!`` comments; placeholders expanded.
+
+    Profile keys ``%<profile>.<key>`` override ``<key>`` when ``profile`` is
+    active; keys of other profiles are ignored.
+    """
     props: dict[str, str] = {}
     if not path:
         return props
@@ -115,13 +121,18 @@ def read_properties(path: str | None, env: dict[str, str] | None = None) -> dict
             if cut < 0:
                 continue
             props[line[:cut].strip()] = expand(line[cut + 1 :].strip(), env)
-    return props
+    plain = {k: v for k, v in props.items() if not k.startswith("%")}
+    if profile:
+        prefix = f"%{profile}."
+        plain.update({k[len(prefix):]: v for k, v in props.items() if k.startswith(prefix)})
+    return plain
 
 
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(description="item inventory stream application")
     ap.add_argument("--brokers")
     ap.add_argument("--properties", help="client properties file (kafka.* / quarkus.kafka.* keys)")
+    ap.add_argument("--profile", help="active profile for %%<profile>.<key> entries (e.g. prod)")
     ap.add_argument("--input-path")
     ap.add_argument("--output-path")
     ap.add_argument("--policy", choices=["strict", "permissive"], default="permissive")
@@ -132,7 +143,7 @@ def main(argv: list[str] | None = None) -> None:
     cfg = AppConfig(input_path=a.input_path, output_path=a.output_path, policy=a.policy,
                     console=a.console, available_now=a.available_now)
     if a.brokers or a.properties:
-        client = kf.client_properties(read_properties(a.properties), a.brokers)
+        client = kf.client_properties(read_properties(a.properties, profile=a.profile), a.brokers)
         cfg.kafka_options = kf.spark_kafka_options(client)
         cfg.application_id = kf.checkpoint_name(client)
     qs = start(spark, cfg)

@@ -78,3 +78,19 @@ def test_properties_file_with_placeholders(tmp_path):
     assert props["kafka.sasl.jaas.config"] == "${MISSING}"
     assert client_properties(props)["ssl.truststore.password"] == "s3cret"
     assert expand("${A}-${B:x}", {"A": "1"}) == "1-x"
+
+
+def test_properties_profiles(tmp_path):
+    from skuflow.streaming.app import read_properties
+
+    f = tmp_path / "app.properties"
+    f.write_text(
+        "kafka.security.protocol=PLAINTEXT\n"
+        "%prod.kafka.security.protocol=SSL\n"
+        "%prod.kafka.ssl.truststore.type=PKCS12\n"
+        "%dev.kafka.bootstrap.servers=localhost:9092\n"
+    )
+    assert read_properties(str(f), env={}) == {"kafka.security.protocol": "PLAINTEXT"}
+    prod = read_properties(str(f), env={}, profile="prod")
+    assert prod == {"kafka.security.protocol": "SSL", "kafka.ssl.truststore.type": "PKCS12"}
+    assert read_properties(str(f), env={}, profile="dev")["kafka.bootstrap.servers"] == "localhost:9092"
