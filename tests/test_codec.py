@@ -150,3 +150,11 @@ def test_inventory_decode_round_trip_and_policy(spark):
     assert bad == {3: "unknown field", 4: "bad currentStock", 5: "not a JSON object"}
     with pytest.raises(PySparkException, match="corrupt inventory"):
         decode_inventory(env, "strict").collect()
+
+
+def test_json_is_parsed_once_per_record(spark):
+    from skuflow.sources.messages import events_messages
+
+    plan = decode_transactions(events_messages(spark, "/root/testdata/sf0.001"))._jdf.queryExecution() \
+        .executedPlan().toString()
+    assert plan.count("from_json(") == 1

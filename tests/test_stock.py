@@ -120,3 +120,13 @@ def test_schema_of_results(tx):
         ("currentStock", "bigint"),
     ]
     assert TRANSACTION["quantity"].dataType.simpleString() == "int"
+
+
+def test_flagship_scan_is_column_pruned(spark):
+    from skuflow.sources.tables import lineitem_transactions
+
+    plan = item_stock(lineitem_transactions(spark, "/root/testdata/sf0.001"))._jdf.queryExecution() \
+        .executedPlan().toString()
+    scan = [line for line in plan.splitlines() if "FileScan parquet" in line][0]
+    cols = scan.split("FileScan parquet [")[1].split("]")[0].split(",")
+    assert sorted(c.split("#")[0] for c in cols) == ["l_partkey", "l_quantity", "l_returnflag"]
