@@ -129,7 +129,7 @@ def _finder(matcher: Matcher, kind: str):
     def find(texts: pd.Series) -> pd.Series:
         return pd.Series([matcher.find(x) for x in texts], dtype=object)
 
-    return find
+    return find.asNondeterministic()  # so that no inferred filter makes a second call
 
 
 def with_hits(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
