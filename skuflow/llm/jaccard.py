@@ -27,10 +27,12 @@ from skuflow.llm.common import row_key, written
 NGRAM, THRESHOLD = 5, 0.8
 COORDINATES = 64
 RECALL, DEPTH = 0.999, 4     # runs follow from this recall at this depth
-SMALL = 64                   # nodes in a bucket compared by brute force
+SMALL = 512                  # nodes in a bucket compared by brute force
 ROUGH = 0.65                 # estimated similarity that proposes a link (threshold less three deviations)
-LOOSE, TIGHT = 0.5, 0.85     # to a pivot: proposed; and so near that whatever it links to is loose to the pivot too
-LEVELS = 24
+# To a pivot: near enough to be proposed; and so near that whatever it links to is proposed too (Jaccard
+# distance is a metric: LOOSE + (1 - THRESHOLD), and 0.15 for the estimates' errors), so it may leave.
+LOOSE, TIGHT = 0.35, 0.7
+LEVELS = 8                   # what is still together after so many splits is proposed as one group
 BLOCK_SETS, BLOCK_TOKENS = 1024, 1 << 18
 
 _WORD = np.zeros(256, bool)
@@ -144,7 +146,10 @@ def runs(threshold: float = THRESHOLD, recall: float = RECALL, depth: int = DEPT
 
 def _alike(a: np.ndarray, least: float) -> np.ndarray:
     """Pairs of signatures (rows) that agree in at least ``least`` of the coordinates."""
-    return (a[:, None, :] == a[None, :, :]).mean(2) >= least
+    same = np.zeros((len(a), len(a)), np.uint8)
+    for c in a.T:
+        same += c[:, None] == c[None, :]
+    return same >= least * COORDINATES
 
 
 def _roots(linked: np.ndarray) -> np.ndarray:
@@ -164,14 +169,15 @@ def _brute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Proposed links of small buckets, as each member's link to its component's first member."""
     for b in batches:
         left, right = [], []
-        for members in b.column("members").to_pylist():
-            ids = [m["nid"] for m in members]
-            root = _roots(_alike(np.array([m["sig"] for m in members], np.int32), ROUGH))
-            for i, r in enumerate(root):
-                if i != r:
-                    left.append(ids[i])
-                    right.append(ids[r])
-        yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
+        for members in b.column("members"):
+            nid = members.values.field("nid").to_numpy()
+            sig = members.values.field("sig").flatten().to_numpy().reshape(-1, COORDINATES)
+            root = _roots(_alike(sig, ROUGH))
+            linked = root != np.arange(len(root))
+            left.append(nid[linked])
+            right.append(nid[root[linked]])
+        none = [np.zeros(0, np.int64)]
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(left or none)), pa.array(np.concatenate(right or none))], ["a", "b"])
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -186,7 +192,7 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("m", "a"))
-        large = both.join(low, "a").where("b > a and b != m").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = both.join(low, "a").where("b > a and b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = written(large, "stars")
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
@@ -222,22 +228,19 @@ def proposals(nodes: DataFrame, threshold: float = THRESHOLD, recall: float = RE
     rows = _next(nodes.select("nid", "sig", F.explode(where).alias("c")).select("nid", "sig", "c.path", "c.i"))
     found = []
     for level in range(LEVELS):
-        sizes = rows.groupBy("path").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-        rows = written(rows.join(sizes, "path"), "paths")
+        # of buckets with the same members only one goes on
+        sizes = (rows.groupBy("path").agg(F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("nid")).alias("x"),
+                                          F.min("nid").alias("lo"), F.max("nid").alias("hi")).where("size > 1")
+                 .groupBy("size", "x", "lo", "hi").agg(F.min("path").alias("path")).select("path", "size"))
+        rows = written(rows.join(sizes, "path").join(sigs, "nid"), "paths")
         small = rows.where(F.col("size") <= SMALL)
-        # of buckets with the same members only one is compared
-        one = (small.groupBy("path").agg(F.count(F.lit(1)).alias("c"), F.bit_xor(F.xxhash64("nid")).alias("x"),
-                                         F.min("nid").alias("lo"), F.max("nid").alias("hi"))
-               .groupBy("c", "x", "lo", "hi").agg(F.min("path").alias("path")).select("path"))
-        buckets = (small.join(one, "path", "left_semi").select("path", "nid").join(sigs, "nid")
-                   .groupBy("path").agg(F.collect_list(F.struct("nid", "sig")).alias("members")))
+        buckets = small.groupBy("path").agg(F.collect_list(F.struct("nid", "sig")).alias("members"))
         found.append(written(buckets.mapInArrow(_brute, "a long, b long"), "links"))
-        big = rows.where(F.col("size") > SMALL)
+        big = rows.where(F.col("size") > SMALL).drop("size")
         if big.isEmpty():
             break
-        pivots = big.groupBy("path").agg(F.min_by("nid", F.xxhash64("path", "nid")).alias("pivot"))
-        near = (big.select("path", "nid").join(sigs, "nid")
-                .join(pivots.join(sigs.select(F.col("nid").alias("pivot"), F.col("sig").alias("psig")), "pivot"), "path"))
+        pivots = big.groupBy("path").agg(F.min_by(F.struct("nid", "sig"), F.xxhash64("nid")).alias("p"))
+        near = big.join(pivots.select("path", F.col("p.nid").alias("pivot"), F.col("p.sig").alias("psig")), "path")
         same = F.size(F.filter(F.zip_with("sig", "psig", lambda x, y: x == y), lambda t: t))
         near = written(near.select("path", "nid", "pivot", "sig", (same / COORDINATES).alias("alike")), "near")
         last = level == LEVELS - 1
