@@ -6,7 +6,7 @@ tokens: at a bucket's path a few coordinates of the min-hash signature are chose
 each with probability 1 / (threshold * coordinates), and nodes that agree in one
 go on together. Small buckets are compared by brute force. In a large one every
 node is compared with one pivot: near ones are linked to it and, if very near,
-leave; the rest is split again. Runs are repeated until the target recall.
+leave, on all paths; the rest is split again. Runs are repeated until the target recall.
 
 The links found that way only propose groups. Each group is then verified exactly
 on its n-gram sets, in blocks, which gives the true links and the classes.
@@ -246,7 +246,11 @@ def proposals(nodes: DataFrame, threshold: float = THRESHOLD, recall: float = RE
         last = level == LEVELS - 1
         found.append(near.where((F.col("alike") >= LOOSE) | F.lit(last)).where("nid != pivot")
                      .select(F.col("nid").alias("a"), F.col("pivot").alias("b")))
-        rows = _next(_chosen(spark, near.where(F.col("alike") < TIGHT).select("path", "nid", "sig"), threshold))
+        # a node that is very near a pivot anywhere is represented by it on all paths; pivots stay
+        gone = (near.where((F.col("alike") >= TIGHT) & (F.col("nid") != F.col("pivot"))).select("nid").distinct()
+                .join(pivots.select(F.col("p.nid").alias("nid")), "nid", "left_anti"))
+        rest = near.where(F.col("alike") < TIGHT).select("path", "nid", "sig").join(gone, "nid", "left_anti")
+        rows = _next(_chosen(spark, rest, threshold))
     out = found[0]
     for f in found[1:]:
         out = out.unionByName(f)
