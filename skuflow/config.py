@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -37,8 +38,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
     Taken from ``spark.checkpoint.dir`` (or the context's checkpoint dir) as
-    the cluster names it. Only when neither is set — local tests — a private
-    folder is created and registered as the context's checkpoint dir.
+    the cluster names it. Only when neither is set on a local master — tests —
+    a private folder is created and registered as the context's checkpoint dir;
+    on any other master that is an error.
     """
     global _FALLBACK_ROOT
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
@@ -52,6 +54,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         ctx_dir = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
         if ctx_dir:
             return ctx_dir.rstrip("/")
+    master = spark.conf.get("spark.master", None) or "local"
+    if not re.match(r"local($|\[)", master):
+        raise ValueError(f"spark.checkpoint.dir is not set: name a folder that all executors of {master} share")
     if _FALLBACK_ROOT is None:
         _FALLBACK_ROOT = tempfile.mkdtemp(prefix="skuflow-ckpt-")
         if sc is not None:

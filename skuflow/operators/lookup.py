@@ -7,22 +7,6 @@ from pyspark.sql import functions as F
 
 from skuflow.operators.stock import item_stock, store_item_stock
 
-# Most request keys broadcast to every scan task; the bound is checked with
-# a bounded count before any broadcast (100k short keys ≈ a few MB).
-MAX_BROADCAST_KEYS = 100_000
-
-
-def _small_key_set(requests: DataFrame, col: str, max_keys: int) -> DataFrame | None:
-    """Distinct request keys if there are at most ``max_keys`` of them, else None.
-
-    The check reads at most ``max_keys + 1`` distinct keys, so it stays cheap
-    even when the request table is large.
-    """
-    keys = requests.select(col).where(F.col(col).isNotNull()).distinct()
-    if keys.limit(max_keys + 1).count() > max_keys:
-        return None
-    return keys
-
 
 def stock_lookup(stock: DataFrame, requests: DataFrame) -> DataFrame:
     """Answer a table of item IDs: ``itemID, found, currentStock``.
@@ -39,28 +23,19 @@ def stock_lookup(stock: DataFrame, requests: DataFrame) -> DataFrame:
     )
 
 
-def stock_lookup_tx(tx: DataFrame, requests: DataFrame, max_broadcast_keys: int = MAX_BROADCAST_KEYS) -> DataFrame:
+def stock_lookup_tx(tx: DataFrame, requests: DataFrame) -> DataFrame:
     """Bulk lookup straight from transactions: ``itemID, found, currentStock``.
 
-    With a request set of proven small size, transactions are first cut to
-    the requested SKUs by a broadcast left-semi join (a map-side filter), so
-    only those SKUs are summed and shuffled. Beyond the bound, the full
-    per-item stock is aggregated and left-joined (AQE picks the join).
+    A semi join first keeps the requested SKUs, so only those are summed; AQE
+    picks the join from measured sizes.
     """
-    keys = _small_key_set(requests, "itemID", max_broadcast_keys)
-    if keys is not None:
-        tx = tx.join(F.broadcast(keys.withColumnRenamed("itemID", "sku")), "sku", "left_semi")
-    return stock_lookup(item_stock(tx), requests)
+    wanted = requests.select(F.col("itemID").alias("sku"))
+    return stock_lookup(item_stock(tx.join(wanted, "sku", "left_semi")), requests)
 
 
-def store_stock_lookup_tx(
-    tx: DataFrame, stores: DataFrame, max_broadcast_keys: int = MAX_BROADCAST_KEYS
-) -> DataFrame:
-    """Store lookup straight from transactions (same size-checked pre-filter)."""
-    keys = _small_key_set(stores, "storeName", max_broadcast_keys)
-    if keys is not None:
-        tx = tx.join(F.broadcast(keys), "storeName", "left_semi")
-    return store_stock_lookup(store_item_stock(tx), stores)
+def store_stock_lookup_tx(tx: DataFrame, stores: DataFrame) -> DataFrame:
+    """Store lookup straight from transactions: only the requested stores are summed."""
+    return store_stock_lookup(store_item_stock(tx.join(stores.select("storeName"), "storeName", "left_semi")), stores)
 
 
 def as_query_result(lookup: DataFrame) -> DataFrame:
@@ -78,10 +53,14 @@ def store_stock_lookup(store_stock: DataFrame, stores: DataFrame) -> DataFrame:
     ``storeName, found, itemID, currentStock``; an unknown store gives one
     row with ``found = false`` and null item fields.
     """
-    s = store_stock.select("storeName", "itemID", "currentStock", F.lit(True).alias("__hit"))
-    return stores.select("storeName").join(s, "storeName", "left").select(
-        "storeName", F.coalesce(F.col("__hit"), F.lit(False)).alias("found"), "itemID", "currentStock"
-    )
+    wanted = stores.select("storeName")
+    # an inner join, so that a hot store splits on either side; the unknown stores beside it
+    hits = wanted.join(store_stock, "storeName").select("storeName", F.lit(True).alias("found"), "itemID", "currentStock")
+    known = store_stock.select("storeName").distinct()
+    misses = wanted.join(known, "storeName", "left_anti").select(
+        "storeName", F.lit(False).alias("found"), F.lit(None).cast("string").alias("itemID"),
+        F.lit(None).cast("long").alias("currentStock"))
+    return hits.unionByName(misses)
 
 
 def _first(df: DataFrame, match: F.Column, match_name: str) -> DataFrame:

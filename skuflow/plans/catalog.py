@@ -102,7 +102,7 @@ def q_first_event_by_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_topic_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
     # a topic snapshot replayed in record-time order: (timestamp, partition, offset)
-    msgs = ms.events_messages(spark, sf_dir, with_timestamp=True)
+    msgs = ms.events_messages(spark, sf_dir, with_timestamp=True, foreign=False)
     tx = cd.decode_transactions(msgs, "permissive", keep=("partition", "offset", "ts_ms"))
     return ch.item_changelog(tx, order=["ts_ms", "partition", "offset"])
 
@@ -114,7 +114,7 @@ COMMIT_INTERVAL_MS = 30000
 
 def q_topic_changelog_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     # last total per item per commit interval of record time, in topic order
-    msgs = ms.events_messages(spark, sf_dir, with_timestamp=True)
+    msgs = ms.events_messages(spark, sf_dir, with_timestamp=True, foreign=False)
     tx = cd.decode_transactions(msgs, "permissive", keep=("partition", "offset", "ts_ms"))
     return ch.item_changelog_compacted(
         tx, order=["ts_ms", "partition", "offset"], batch=ch.floor_div("ts_ms", COMMIT_INTERVAL_MS)

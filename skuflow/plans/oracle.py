@@ -133,7 +133,7 @@ ITEM_MESSAGES = f"""
 
 
 def _codec_and_streams(q: dict[str, str]) -> None:
-    valid = f"SELECT * FROM ({TX_EVENTS}) WHERE event_type <> 'view'"
+    valid = TX_EVENTS  # streams read the whole table
     q["decode_transactions"] = f"""
         SELECT topic, partition, "offset", id, storeName, sku, quantity, type, price, timestamp
         FROM ({ITEM_MESSAGES}) WHERE event_type <> 'view'
@@ -170,7 +170,7 @@ def _codec_and_streams(q: dict[str, str]) -> None:
         SELECT ts_ms, partition, "offset", sku AS itemID,
                CAST(sum({DELTA}) OVER (PARTITION BY sku ORDER BY ts_ms, partition, "offset"
                     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS currentStock
-        FROM ({ITEM_MESSAGES}) WHERE event_type <> 'view' AND sku IS NOT NULL
+        FROM ({ITEM_MESSAGES}) WHERE sku IS NOT NULL
     """
     q["topic_changelog_compacted"] = f"""
         SELECT batch, itemID, ts_ms, partition, "offset", currentStock FROM (
@@ -179,7 +179,7 @@ def _codec_and_streams(q: dict[str, str]) -> None:
                         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS currentStock,
                    row_number() OVER (PARTITION BY sku, floor(ts_ms / 30000)
                                       ORDER BY ts_ms DESC, partition DESC, "offset" DESC) AS rn
-            FROM ({ITEM_MESSAGES}) WHERE event_type <> 'view' AND sku IS NOT NULL
+            FROM ({ITEM_MESSAGES}) WHERE sku IS NOT NULL
         ) WHERE rn = 1
     """
     q["item_stock_stream"] = _stock(valid)

@@ -53,7 +53,7 @@ def _stream(spark: SparkSession, src: str) -> DataFrame:
 
 def run_stock_stream(spark: SparkSession, sf_dir: str, name: str, parts: int = 1) -> P.StreamPaths:
     paths, src = _source(spark, name)
-    for seg in deliveries(ms.events_messages(spark, sf_dir), parts):
+    for seg in deliveries(ms.events_messages(spark, sf_dir, foreign=False), parts):
         ms.topic_to_files(seg, src, mode="append")
         P.run_to_end(P.item_stock_query(_stream(spark, src), paths))
     return paths
@@ -65,7 +65,7 @@ def q_item_stock_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_store_item_stock_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths, src = _source(spark, "store_item_stock_stream")
-    for seg in deliveries(ms.events_messages(spark, sf_dir), 2):
+    for seg in deliveries(ms.events_messages(spark, sf_dir, foreign=False), 2):
         ms.topic_to_files(seg, src, mode="append")
         P.run_to_end(P.store_item_stock_query(_stream(spark, src), paths))
     return P.store_stock_snapshot(spark, paths)
@@ -91,7 +91,7 @@ def q_item_stock_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_item_changelog_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths, src = _source(spark, "item_changelog_stream")
-    for seg in deliveries(ms.events_messages(spark, sf_dir), 2):
+    for seg in deliveries(ms.events_messages(spark, sf_dir, foreign=False), 2):
         ms.topic_to_files(seg, src, mode="append")
         P.run_to_end(P.item_changelog_query(_stream(spark, src), paths))
     return P.read_changelog(spark, paths)
@@ -99,7 +99,7 @@ def q_item_changelog_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_store_item_changelog_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths, src = _source(spark, "store_item_changelog_stream")
-    for seg in deliveries(ms.events_messages(spark, sf_dir), 2):
+    for seg in deliveries(ms.events_messages(spark, sf_dir, foreign=False), 2):
         ms.topic_to_files(seg, src, mode="append")
         P.run_to_end(P.item_changelog_query(_stream(spark, src), paths, keys=P.STORE_ITEM_KEYS))
     return P.read_changelog(spark, paths, keys=P.STORE_ITEM_KEYS)

@@ -53,17 +53,26 @@ TRANSACTION_SPEC = RecordSpec(
 INVENTORY_SPEC = RecordSpec("inventory", INVENTORY_FIELDS, (("currentStock", None, None, "long"),))
 
 
+# a JSON number: no literal suffix, no hex, no NaN
+_NUMBER = r"^-?[0-9]+(\.[0-9]+)?([eE][+-]?[0-9]+)?$"
+
+
 def _num(text: Column) -> Column:
-    return text.try_cast("double")
+    return F.when(F.trim(text).rlike(_NUMBER), text.try_cast("double"))
 
 
 def _integral(text: Column, lo: int | None, hi: int | None, target: str) -> tuple[Column, Column]:
-    """(value, is_bad) for an integral field given its JSON text."""
-    as_long = text.try_cast("long")
-    as_double = _num(text)
-    # Fractions truncate toward zero like the reference's int/long coercion.
-    trunc = F.when(as_double >= 0, F.floor(as_double)).otherwise(F.ceil(as_double))
-    value = F.coalesce(as_long, trunc.try_cast("long"))
+    """(value, is_bad) for an integral field given its JSON text.
+
+    Fractions truncate toward zero; anything that is no number or does not fit a long is bad.
+    The JSON parser reads a number with a fraction or exponent as a double, so one beyond
+    2^53 may have been altered already: it is bad too.
+    """
+    t = F.trim(text)
+    exact = t.try_cast("decimal(38,9)")
+    trunc = F.when(exact >= 0, F.floor(exact)).otherwise(F.ceil(exact)).try_cast("long")
+    value = (F.when(t.rlike(r"^-?[0-9]+$"), t.try_cast("long"))
+             .when(t.rlike(_NUMBER) & (F.abs(exact) < F.lit(1 << 53)), trunc))
     bad = text.isNotNull() & value.isNull()
     if lo is not None:
         bad = bad | (value < F.lit(lo)) | (value > F.lit(hi))
@@ -75,7 +84,7 @@ def _parse(envelope: DataFrame, spec: RecordSpec = TRANSACTION_SPEC) -> DataFram
     valid) and ``__<field>`` typed values of the numeric fields."""
     v = F.col("value").cast("string")
     parsed = F.from_json(
-        v, spec.parse_schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+        v, spec.parse_schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT, "allowSingleQuotes": "false"}
     )
     # Parse once per record behind a Generate: a filter on the decode result
     # cannot be pushed below it, so Catalyst never inlines (and re-runs) the

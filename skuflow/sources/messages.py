@@ -26,9 +26,11 @@ FOREIGN_EVENT_TYPE = "view"  # these events carry props, not a transaction
 EPOCH_MS = "timestampdiff(MILLISECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)"
 
 
-def item_messages(events: DataFrame, with_timestamp: bool = False) -> DataFrame:
+def item_messages(events: DataFrame, with_timestamp: bool = False, foreign: bool = True) -> DataFrame:
     """Envelope ``topic, partition, offset, key, value`` (offset = event_id),
     plus ``ts_ms`` (record time, as the Kafka envelope gives it) on request.
+    Without ``foreign`` page views carry their transaction too, so a reader gets
+    the whole table.
 
     One projection over one scan: no join, no shuffle.
     """
@@ -40,15 +42,14 @@ def item_messages(events: DataFrame, with_timestamp: bool = False) -> DataFrame:
         F.pmod(F.col("user_id"), F.lit(TOPIC_PARTITIONS)).cast("int").alias("partition"),
         F.col("event_id").alias("offset"),
         store.alias("key"),
-        F.when(F.col("event_type") == F.lit(FOREIGN_EVENT_TYPE), F.col("props"))
-        .otherwise(F.to_json(F.struct(*tx)))
-        .alias("value"),
+        (F.when(F.col("event_type") == F.lit(FOREIGN_EVENT_TYPE), F.col("props")).otherwise(F.to_json(F.struct(*tx)))
+         if foreign else F.to_json(F.struct(*tx))).alias("value"),
         *extra,
     )
 
 
-def events_messages(spark: SparkSession, sf_dir: str, with_timestamp: bool = False) -> DataFrame:
-    return item_messages(read_table(spark, sf_dir, "events"), with_timestamp)
+def events_messages(spark: SparkSession, sf_dir: str, with_timestamp: bool = False, foreign: bool = True) -> DataFrame:
+    return item_messages(read_table(spark, sf_dir, "events"), with_timestamp, foreign)
 
 
 def topic_to_files(envelope: DataFrame, path: str, mode: str = "errorifexists") -> None:

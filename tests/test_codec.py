@@ -158,3 +158,21 @@ def test_json_is_parsed_once_per_record(spark):
     plan = decode_transactions(events_messages(spark, "/root/testdata/sf0.001"))._jdf.queryExecution() \
         .executedPlan().toString()
     assert plan.count("from_json(") == 1
+
+
+# Numbers that a strict reader refuses or must not alter.
+@pytest.mark.parametrize("field, text", [
+    ("id", "1e30"), ("id", "99999999999999999999999"), ("id", '"NaN"'), ("quantity", '"NaN"'), ("quantity", '"5d"'),
+    ("quantity", '"5f"'), ("quantity", '"0x1p3"')])
+def test_bad_numbers_are_corrupt(spark, field, text):
+    df = spark.createDataFrame([("items", 0, 0, "s", f'{{"sku":"A","{field}":{text}}}')],
+                               "topic string, partition int, offset long, key string, value string")
+    assert decode_transactions(df, "permissive").count() == 0
+    assert quarantine_transactions(df).collect()[0]["reason"] == f"bad {field}"
+
+
+def test_large_fractional_id_and_single_quotes_are_corrupt(spark):
+    rows = [("items", 0, 0, "s", '{"sku":"A","id":9007199254740993.0}'), ("items", 0, 1, "s", "{'sku':'A','quantity':3}")]
+    df = spark.createDataFrame(rows, "topic string, partition int, offset long, key string, value string")
+    assert decode_transactions(df, "permissive").count() == 0
+    assert quarantine_transactions(df).count() == 2

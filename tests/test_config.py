@@ -52,3 +52,23 @@ def test_private_folder_only_when_nothing_is_set(monkeypatch):
     root = cfg.checkpoint_root(_Session({}, ctx))
     assert ctx.set_to == root and "skuflow-ckpt-" in root
     assert cfg.checkpoint_root(_Session({}, _Context())) == root  # created once
+
+
+def test_no_private_folder_off_a_local_master(monkeypatch):
+    import pytest
+
+    from skuflow import config
+
+    class Conf:
+        def get(self, key, default=None):
+            return "spark://host:7077" if key == "spark.master" else default
+
+    class Session:
+        conf = Conf()
+
+        @property
+        def sparkContext(self):
+            raise RuntimeError("no local context")
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        config.checkpoint_root(Session())

@@ -74,17 +74,15 @@ def test_stamp_keeps_given_timestamp(spark, tx):
     assert fresh is not None and "T" in fresh
 
 
-def test_lookup_from_transactions_both_paths(spark, tx):
+def test_lookup_from_transactions(spark, tx):
     from skuflow.operators.lookup import stock_lookup_tx, store_stock_lookup_tx
 
     req = spark.createDataFrame([("Item-1",), ("Item-9",), ("Item-1",), (None,)], "itemID string")
-    for bound in (0, 1, 100):  # 0/1: fallback path (2 distinct keys); 100: broadcast path
-        got = sorted((r.itemID or "", r.found, r.currentStock) for r in stock_lookup_tx(tx(G9), req, bound).collect())
-        assert got == [("", False, None), ("Item-1", True, 6), ("Item-1", True, 6), ("Item-9", False, None)]
+    got = sorted((r.itemID or "", r.found, r.currentStock) for r in stock_lookup_tx(tx(G9), req).collect())
+    assert got == [("", False, None), ("Item-1", True, 6), ("Item-1", True, 6), ("Item-9", False, None)]
     stores = spark.createDataFrame([("Store-2",), ("Store-7",)], "storeName string")
-    for bound in (1, 100):
-        got = sorted(tuple(r) for r in store_stock_lookup_tx(tx(G9), stores, bound).collect())
-        assert got == [("Store-2", True, "Item-1", 2), ("Store-7", False, None, None)]
+    got = sorted(tuple(r) for r in store_stock_lookup_tx(tx(G9), stores).collect())
+    assert got == [("Store-2", True, "Item-1", 2), ("Store-7", False, None, None)]
 
 
 def test_record_trace_orders(spark):
