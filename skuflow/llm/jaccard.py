@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skuflow.llm.common import row_key, written
@@ -206,7 +206,7 @@ def components(edges: DataFrame) -> DataFrame:
         F.col("node").cast(kind), F.col("root").cast(kind))
 
 
-def _chosen(spark: SparkSession, paths: DataFrame, threshold: float) -> DataFrame:
+def _chosen(paths: DataFrame, threshold: float) -> DataFrame:
     """``paths`` (with a ``path`` column) once for every coordinate chosen there."""
     share = int(1_000_000 / (threshold * COORDINATES))
     every = F.sequence(F.lit(0), F.lit(COORDINATES - 1))
@@ -223,9 +223,9 @@ def proposals(nodes: DataFrame, threshold: float = THRESHOLD, recall: float = RE
     spark = nodes.sparkSession
     sigs = nodes.select("nid", "sig")
     start = spark.range(runs(threshold, recall)).select(F.xxhash64(F.lit("run"), "id").alias("path"))
-    first = _chosen(spark, start, threshold).collect()   # runs / threshold rows: the same for every node
+    first = _chosen(start, threshold).collect()   # runs / threshold rows: the same for every node
     where = F.array(*[F.struct(F.lit(r["path"]).alias("path"), F.lit(r["i"]).alias("i")) for r in first])
-    rows = _next(nodes.select("nid", "sig", F.explode(where).alias("c")).select("nid", "sig", "c.path", "c.i"))
+    rows = written(_next(nodes.select("nid", "sig", F.explode(where).alias("c")).select("nid", "sig", "c.path", "c.i")), "steps")
     found = []
     for level in range(LEVELS):
         # of buckets with the same members only one goes on
@@ -250,7 +250,8 @@ def proposals(nodes: DataFrame, threshold: float = THRESHOLD, recall: float = RE
         gone = (near.where((F.col("alike") >= TIGHT) & (F.col("nid") != F.col("pivot"))).select("nid").distinct()
                 .join(pivots.select(F.col("p.nid").alias("nid")), "nid", "left_anti"))
         rest = near.where(F.col("alike") < TIGHT).select("path", "nid", "sig").join(gone, "nid", "left_anti")
-        rows = _next(_chosen(spark, rest, threshold))
+        if not last:   # written, as sizes and members both read it
+            rows = written(_next(_chosen(rest, threshold)), "steps")
     out = found[0]
     for f in found[1:]:
         out = out.unionByName(f)
