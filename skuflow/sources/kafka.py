@@ -23,11 +23,13 @@ from pyspark.sql import functions as F
 APP_PREFIX = "kafka."
 FRAMEWORK_PREFIX = "quarkus.kafka."
 DEFAULT_BROKERS = "localhost:9012"
+INPUT_TOPIC_PROPERTY, OUTPUT_TOPIC_PROPERTY = "app.items.topic", "app.item.inventory.topic"
 # Client properties that Spark's Kafka source manages itself.
 SPARK_MANAGED = ("auto.offset.reset", "enable.auto.commit", "key.deserializer", "value.deserializer",
                  "key.serializer", "value.serializer", "interceptor.classes", "application.id",
                  "default.key.serde", "default.value.serde")
 # ---------------------------------------------------------------------------
+DEFAULT_APPLICATION_ID = "skuflow-inventory"
 
 
 def client_properties(props: Mapping[str, str], brokers: str | None = None) -> dict[str, str]:
@@ -50,7 +52,7 @@ def spark_kafka_options(client: Mapping[str, str]) -> dict[str, str]:
     return opts
 
 
-def checkpoint_name(client: Mapping[str, str], default: str = "item-aggregator") -> str:
+def checkpoint_name(client: Mapping[str, str], default: str = DEFAULT_APPLICATION_ID) -> str:
     """The application id names the checkpoint: same id resumes, a new id replays."""
     return client.get("application.id", default)
 
@@ -67,9 +69,12 @@ def sasl_ssl_options(user: str = "", password: str = "", mechanism: str = "PLAIN
             if mechanism.upper().startswith("SCRAM")
             else "org.apache.kafka.common.security.plain.PlainLoginModule"
         )
+        user, password = (x.replace("\\", "\\\\").replace('"', '\\"') for x in (user, password))
         opts["kafka.sasl.jaas.config"] = f'{module} required username="{user}" password="{password}";'
     if ca_location:
         opts["kafka.ssl.truststore.location"] = ca_location
+        if ca_location.lower().endswith((".pem", ".crt", ".cer")):   # else the client expects a key store
+            opts["kafka.ssl.truststore.type"] = "PEM"
     return opts
 
 

@@ -159,6 +159,12 @@ def item_stock_query(
         .option("checkpointLocation", paths.stock_checkpoint)
         .foreachBatch(snapshot_writer(paths.stock_log))
     )
+    return start_stateful(spark, writer, available_now, interval, state_partitions, state_store)
+
+
+def start_stateful(spark: SparkSession, writer, available_now: bool = True, interval: str | None = None,
+                   state_partitions: int | None = None, state_store: str = "rocksdb"):
+    """Start a stateful query with the state settings pinned into its checkpoint."""
     with _state_conf(spark, state_partitions or default_parallelism(spark), state_store):
         return with_trigger(writer, available_now, interval).start()
 
@@ -181,8 +187,7 @@ def store_item_stock_query(
         .option("checkpointLocation", paths.store_stock_checkpoint)
         .foreachBatch(snapshot_writer(paths.store_stock_log))
     )
-    with _state_conf(spark, state_partitions or default_parallelism(spark), state_store):
-        return with_trigger(writer, available_now, interval).start()
+    return start_stateful(spark, writer, available_now, interval, state_partitions, state_store)
 
 
 def quarantine_query(envelope_stream: DataFrame, paths: StreamPaths, available_now: bool = True,

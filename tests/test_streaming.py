@@ -146,7 +146,7 @@ def test_inventory_app_on_files(spark):
     qs = start(spark, AppConfig(input_path=src, output_path=f"{root}/out", available_now=True))
     for q in qs.values():
         P.run_to_end(q)
-    paths = P.StreamPaths(f"{root}/out")
+    paths = P.StreamPaths(f"{root}/out/skuflow-inventory")
     assert {r.itemID: r.currentStock for r in P.stock_snapshot(spark, paths).collect()} == {"Item-1": 6}
     assert [r.reason for r in spark.read.parquet(paths.quarantine).collect()] == ["unknown field"]
 
