@@ -200,8 +200,9 @@ def _codec_and_streams(q: dict[str, str]) -> None:
     """
     q["item_changelog_stream"] = _changelog(valid)
     q["stock_point_lookup"] = f"""
-        SELECT s.itemID, s.currentStock FROM ({_stock(valid)}) s
-        WHERE s.itemID IN (SELECT 'Item-' || CAST(p_partkey AS VARCHAR) FROM part)
+        SELECT r.itemID, s.itemID IS NOT NULL AS found, s.currentStock
+        FROM (SELECT 'Item-' || CAST(p_partkey AS VARCHAR) AS itemID FROM part) r
+        LEFT JOIN ({_stock(valid)}) s ON r.itemID = s.itemID
     """
 
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skuflow.operators.lookup import stock_lookup
 from skuflow.schema import STOCK_STORE_NAME
 
 
@@ -28,20 +29,20 @@ def read_stock_state(spark: SparkSession, checkpoint: str, batch_id: int | None
 
 
 def stock_point_lookup(spark: SparkSession, checkpoint: str, requests: DataFrame) -> DataFrame:
-    """Stock of the requested items that the state holds: ``itemID, currentStock``."""
-    state = read_stock_state(spark, checkpoint)
-    return state.join(requests.select("itemID").distinct(), "itemID", "left_semi").select("itemID", "currentStock")
+    """Stock of each requested item as the state holds it: ``itemID, found, currentStock``;
+    an item the state does not know has ``found = false`` and null stock."""
+    return stock_lookup(read_stock_state(spark, checkpoint).select("itemID", "currentStock"), requests)
 
 
-def store_metadata(spark: SparkSession, checkpoint: str, topic: str = "items", operator_id: int = 0) -> DataFrame:
+def store_metadata(spark: SparkSession, checkpoint: str, operator_id: int = 0) -> DataFrame:
     """Which state partitions hold keys, per stateful operator.
 
     ``storeName, operatorId, operatorName, stateStoreName, numPartitions,
-    minBatchId, maxBatchId, numKeys, partitions`` —
-    ``partitions`` is the sorted list of ``<topic>-<partition>`` names with
-    at least one key (the reference lists topic partitions per host). Keys
-    are counted per partition first, so the list is built from at most one
-    row per state partition.
+    minBatchId, maxBatchId, numKeys, statePartitions`` —
+    ``statePartitions`` lists in ascending order the state partitions with at
+    least one key (they are no topic partitions, and no host owns one for good).
+    Keys are counted per partition first, so the list is built from at most
+    one row per state partition.
     """
     meta = spark.read.format("state-metadata").load(checkpoint)
     held = (
@@ -49,9 +50,7 @@ def store_metadata(spark: SparkSession, checkpoint: str, topic: str = "items", o
         .groupBy("partition_id").agg(F.count(F.lit(1)).alias("n"))
         .agg(
             F.sum("n").alias("numKeys"),
-            F.sort_array(
-                F.collect_list(F.concat(F.lit(f"{topic}-"), F.col("partition_id").cast("string")))
-            ).alias("partitions"),
+            F.sort_array(F.collect_list(F.col("partition_id").cast("int"))).alias("statePartitions"),
         )
         .withColumn("operatorId", F.lit(operator_id).cast(meta.schema["operatorId"].dataType))
     )
@@ -61,5 +60,5 @@ def store_metadata(spark: SparkSession, checkpoint: str, topic: str = "items", o
                 "numPartitions", "minBatchId", "maxBatchId")
         .join(held, "operatorId", "left")
         .select("storeName", "operatorId", "operatorName", "stateStoreName", "numPartitions",
-                "minBatchId", "maxBatchId", "numKeys", "partitions")
+                "minBatchId", "maxBatchId", "numKeys", "statePartitions")
     )

@@ -74,11 +74,13 @@ def test_g10_g11_stock_stream_and_replay(spark):
     assert not any(p.get("numInputRows", 0) for p in q.recentProgress)
     # state readers
     req = spark.createDataFrame([("Item-1",), ("Item-404",)], "itemID string")
-    assert [tuple(r) for r in S.stock_point_lookup(spark, paths.stock_checkpoint, req).collect()] == [("Item-1", 3)]
+    found = {tuple(r) for r in S.stock_point_lookup(spark, paths.stock_checkpoint, req).collect()}
+    assert found == {("Item-1", True, 3), ("Item-404", False, None)}
     at0 = {r.itemID: r.currentStock for r in S.read_stock_state(spark, paths.stock_checkpoint, batch_id=0).collect()}
     assert at0 == {"Item-1": 3, "Item-2": 20}
     meta = S.store_metadata(spark, paths.stock_checkpoint).first()
-    assert meta.storeName == "ItemStock" and meta.numKeys == 3 and len(meta.partitions) >= 1
+    assert meta.storeName == "ItemStock" and meta.numKeys == 3 and len(meta.statePartitions) >= 1
+    assert all(isinstance(p, int) for p in meta.statePartitions) and meta.statePartitions == sorted(meta.statePartitions)
     assert (meta.stateStoreName, meta.minBatchId, meta.maxBatchId) == ("default", 0, 1)
     # the corrupt message is quarantined by the side query
     P.run_to_end(P.quarantine_query(read_topic_files(spark, src, streaming=True), paths))
