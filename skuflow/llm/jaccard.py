@@ -32,6 +32,7 @@ ROUGH = 0.65                 # estimated similarity that proposes a link (thresh
 # To a pivot: near enough to be proposed; and so near that whatever it links to is proposed too (Jaccard
 # distance is a metric: LOOSE + (1 - THRESHOLD), and 0.15 for the estimates' errors), so it may leave.
 LOOSE, TIGHT = 0.35, 0.7
+SLICE = 2048                 # rows of a large bucket that one task compares with its pivot
 LEVELS = 8                   # what is still together after so many splits is proposed as one group
 BLOCK_SETS, BLOCK_TOKENS = 1024, 1 << 18
 
@@ -236,11 +237,16 @@ def proposals(nodes: DataFrame, threshold: float = THRESHOLD, recall: float = RE
         small = rows.where(F.col("size") <= SMALL)
         buckets = small.groupBy("path").agg(F.collect_list(F.struct("nid", "sig")).alias("members"))
         found.append(written(buckets.mapInArrow(_brute, "a long, b long"), "links"))
-        big = rows.where(F.col("size") > SMALL).drop("size")
+        slices = F.ceil(F.col("size") / SLICE).cast("int")
+        big = rows.where(F.col("size") > SMALL)
         if big.isEmpty():
             break
-        pivots = big.groupBy("path").agg(F.min_by(F.struct("nid", "sig"), F.xxhash64("nid")).alias("p"))
-        near = big.join(pivots.select("path", F.col("p.nid").alias("pivot"), F.col("p.sig").alias("psig")), "path")
+        pivots = written(big.groupBy("path").agg(F.min_by(F.struct("nid", "sig"), F.xxhash64("nid")).alias("p"),
+                                                 F.any_value("size").alias("size")), "pivots")
+        # a bucket meets its pivot in slices, so that a hot one is no single task
+        to = pivots.select("path", F.col("p.nid").alias("pivot"), F.col("p.sig").alias("psig"),
+                           F.explode(F.sequence(F.lit(0), slices - 1)).alias("slice"))
+        near = big.withColumn("slice", F.pmod(F.xxhash64(F.lit("slice"), "nid"), slices).cast("int")).join(to, ["path", "slice"])
         same = F.size(F.filter(F.zip_with("sig", "psig", lambda x, y: x == y), lambda t: t))
         near = written(near.select("path", "nid", "pivot", "sig", (same / COORDINATES).alias("alike")), "near")
         last = level == LEVELS - 1
