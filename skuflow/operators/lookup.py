@@ -63,19 +63,29 @@ def store_stock_lookup(store_stock: DataFrame, stores: DataFrame) -> DataFrame:
     return hits.unionByName(misses)
 
 
+# Offsets per partition in a record's place; offsets are 64-bit, so places never overlap.
+_PLACES = 2**64
+
+
+def _place() -> F.Column:
+    """(partition, offset) as one number in that order; a null sorts before every value."""
+    places = F.lit(str(_PLACES)).cast("decimal(20,0)")
+    part = F.coalesce(F.col("partition").cast("decimal(10,0)"), F.lit(-1).cast("decimal(10,0)"))
+    return part * places + F.coalesce(F.col("offset").cast("decimal(20,0)"), F.lit(-1).cast("decimal(20,0)"))
+
+
 def _first(df: DataFrame, match: F.Column, match_name: str) -> DataFrame:
-    # min over a struct ordered by (partition, offset) — an aggregate with a
-    # map-side partial step, so a hot key is reduced before the shuffle.
-    first = df.where(match.isNotNull()).groupBy(match.alias(match_name)).agg(
-        F.min(F.struct("partition", "offset", "topic", "key", "value")).alias("__r")
-    )
+    # The least place per value is one number, so the big aggregate hashes and never
+    # sorts payloads; the records are then fetched by value and place. Topics may
+    # share a place, hence the last choice, among the few records fetched.
+    placed = df.where(match.isNotNull()).select(
+        match.alias("__match"), _place().alias("__place"), "topic", "partition", "offset", "key", "value")
+    least = placed.groupBy("__match").agg(F.min("__place").alias("__place"))
+    found = placed.join(least, ["__match", "__place"])
+    first = found.groupBy("__match").agg(F.min(F.struct("partition", "offset", "topic", "key", "value")).alias("__r"))
     return first.select(
-        match_name,
-        F.col("__r.topic").alias("topic"),
-        F.col("__r.partition").alias("partition"),
-        F.col("__r.offset").alias("offset"),
-        F.col("__r.key").alias("key"),
-        F.col("__r.value").alias("value"),
+        F.col("__match").alias(match_name),
+        *[F.col(f"__r.{c}").alias(c) for c in ("topic", "partition", "offset", "key", "value")],
     )
 
 

@@ -37,6 +37,6 @@ def record_trace(envelope: DataFrame, order: str = "within") -> DataFrame:
     return out
 
 
-def stamp_transactions(tx: DataFrame) -> DataFrame:
-    """Fill a missing ``timestamp`` with the current local time as ISO text."""
-    return tx.withColumn("timestamp", F.coalesce(F.col("timestamp"), iso_now()))
+def stamp_transactions(tx: DataFrame, now: str | None = None) -> DataFrame:
+    """Fill a missing ``timestamp`` with ``now`` (ISO text; default: the current local time)."""
+    return tx.withColumn("timestamp", F.coalesce(F.col("timestamp"), iso_now() if now is None else F.lit(now)))

@@ -121,8 +121,14 @@ def q_topic_changelog_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# the clock of the stamped rows, given so that reruns agree
+STAMP_CLOCK = "2024-01-01T00:00:00.000000"
+
+
 def q_stamp_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tr.stamp_transactions(tb.lineitem_transactions(spark, sf_dir))
+    # events carry their time and keep it; order lines have none and get the clock's
+    both = tb.events_transactions(spark, sf_dir).unionByName(tb.lineitem_transactions(spark, sf_dir))
+    return tr.stamp_transactions(both, STAMP_CLOCK)
 
 
 _BATCH = {

@@ -182,6 +182,15 @@ def _codec_and_streams(q: dict[str, str]) -> None:
             FROM ({ITEM_MESSAGES}) WHERE sku IS NOT NULL
         ) WHERE rn = 1
     """
+    q["stamp_transactions"] = f"""
+        SELECT id, storeName, sku, quantity, type, price, timestamp FROM ({TX_EVENTS})
+        UNION ALL
+        SELECT NULL AS id, storeName, sku, quantity, type, price, '2024-01-01T00:00:00.000000' AS timestamp
+        FROM ({TX_LINEITEM})
+    """
+    q["store_metadata"] = f"""
+        SELECT 'ItemStock' AS storeName, 8 AS numPartitions, count(*) AS numKeys FROM ({_stock(valid)})
+    """
     q["item_stock_stream"] = _stock(valid)
     q["item_stock_replay"] = _stock(valid)
     q["store_item_stock_stream"] = _store_stock(valid)

@@ -51,11 +51,16 @@ def _stream(spark: SparkSession, src: str) -> DataFrame:
     return ms.read_topic_files(spark, src, streaming=True)
 
 
-def run_stock_stream(spark: SparkSession, sf_dir: str, name: str, parts: int = 1) -> P.StreamPaths:
+# state partitions of the placement query, pinned so that its answer is the same on every cluster
+METADATA_PARTITIONS = 8
+
+
+def run_stock_stream(spark: SparkSession, sf_dir: str, name: str, parts: int = 1,
+                     state_partitions: int | None = None) -> P.StreamPaths:
     paths, src = _source(spark, name)
     for seg in deliveries(ms.events_messages(spark, sf_dir, foreign=False), parts):
         ms.topic_to_files(seg, src, mode="append")
-        P.run_to_end(P.item_stock_query(_stream(spark, src), paths))
+        P.run_to_end(P.item_stock_query(_stream(spark, src), paths, state_partitions=state_partitions))
     return paths
 
 
@@ -111,8 +116,8 @@ def q_stock_point_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_store_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    paths = run_stock_stream(spark, sf_dir, "store_metadata")
-    return S.store_metadata(spark, paths.stock_checkpoint)
+    paths = run_stock_stream(spark, sf_dir, "store_metadata", state_partitions=METADATA_PARTITIONS)
+    return S.store_metadata(spark, paths.stock_checkpoint).select("storeName", "numPartitions", "numKeys")
 
 
 STREAMS = {

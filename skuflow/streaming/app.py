@@ -48,6 +48,7 @@ class AppConfig:
     output_path: str | None = None  # root for tables when there is no broker
     policy: str = "permissive"
     console: bool = False
+    store_level: bool = False  # also keep the stock per store and item
     available_now: bool = False
     trigger_interval: str = "10 seconds"
     max_offsets_per_trigger: int | None = None
@@ -74,6 +75,10 @@ def start(spark: SparkSession, cfg: AppConfig) -> dict[str, object]:
         queries["inventory"] = P.item_stock_query(
             _source(spark, cfg), paths, cfg.available_now, cfg.trigger_interval, policy=cfg.policy
         )
+    if cfg.store_level:
+        queries["store_inventory"] = P.store_item_stock_query(
+            _source(spark, cfg), paths, cfg.available_now, cfg.trigger_interval, policy=cfg.policy
+        )
     if cfg.console:
         stock = item_stock(decode_transactions(_source(spark, cfg), "permissive"))
         w = console_trace_sink(stock, f"{root}/checkpoint/console")
@@ -161,11 +166,12 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--ca-file", help="certificates of the brokers' authority")
     ap.add_argument("--policy", choices=["strict", "permissive"], default="permissive")
     ap.add_argument("--console", action="store_true")
+    ap.add_argument("--store-level", action="store_true", help="also keep the stock per store and item")
     ap.add_argument("--available-now", action="store_true")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName("skuflow-inventory").getOrCreate()
     cfg = AppConfig(input_path=a.input_path, output_path=a.output_path, policy=a.policy,
-                    console=a.console, available_now=a.available_now, trigger_interval=a.trigger_interval,
+                    console=a.console, store_level=a.store_level, available_now=a.available_now, trigger_interval=a.trigger_interval,
                     max_offsets_per_trigger=a.max_offsets_per_trigger)
     props = read_properties(a.properties, profile=a.profile)
     client = kf.client_properties(props, a.brokers)

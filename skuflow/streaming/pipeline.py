@@ -35,6 +35,7 @@ from skuflow.streaming.sinks import (
     read_snapshot_log,
     snapshot_writer,
 )
+from skuflow.streaming.state import read_stock_state
 
 
 ITEM_KEYS = ("itemID",)
@@ -144,7 +145,7 @@ def item_stock_query(
     available_now: bool = True,
     interval: str | None = None,
     state_partitions: int | None = None,
-    policy: str = "permissive",
+    policy: str = "strict",
     state_store: str = "rocksdb",
 ):
     """Start the continuous per-item stock aggregate; returns the StreamingQuery.
@@ -175,7 +176,7 @@ def store_item_stock_query(
     available_now: bool = True,
     interval: str | None = None,
     state_partitions: int | None = None,
-    policy: str = "permissive",
+    policy: str = "strict",
     state_store: str = "rocksdb",
 ):
     """Continuous stock per store and item: one event per changed (store, item)
@@ -203,21 +204,23 @@ def quarantine_query(envelope_stream: DataFrame, paths: StreamPaths, available_n
     return with_trigger(writer, available_now, interval).start()
 
 
-def stock_snapshot(spark: SparkSession, paths: StreamPaths, source: str = "log") -> DataFrame:
+def _snapshot(spark: SparkSession, checkpoint: str, log: str, keys: tuple[str, ...], source: str) -> DataFrame:
+    if source == "state":
+        return read_stock_state(spark, checkpoint, keys=keys).select(*keys, "currentStock")
+    if source != "log":
+        raise ValueError(f"unknown source {source!r}")
+    return compact_latest(read_snapshot_log(spark, log), list(keys))
+
+
+def stock_snapshot(spark: SparkSession, paths: StreamPaths, source: str = "state") -> DataFrame:
     """Current stock per item: ``itemID, currentStock``.
 
+    ``source="state"`` reads the aggregate's state store as of the last
+    committed batch: one row per item, whatever the history length.
     ``source="log"`` compacts the per-batch snapshot log (latest batch wins;
-    the read grows with the number of batches). ``source="state"`` reads the
-    aggregate's state store as of the last committed batch: one row per
-    item, whatever the history length.
+    the read grows with the number of batches).
     """
-    if source == "state":
-        from skuflow.streaming.state import read_stock_state
-
-        return read_stock_state(spark, paths.stock_checkpoint).select("itemID", "currentStock")
-    if source != "log":
-        raise ValueError(f"unknown source {source!r}")
-    return compact_latest(read_snapshot_log(spark, paths.stock_log), ["itemID"])
+    return _snapshot(spark, paths.stock_checkpoint, paths.stock_log, ITEM_KEYS, source)
 
 
 def seeded_stock_snapshot(spark: SparkSession, paths: StreamPaths, opening: DataFrame) -> DataFrame:
@@ -233,9 +236,9 @@ def seeded_stock_snapshot(spark: SparkSession, paths: StreamPaths, opening: Data
     return both.groupBy("itemID").agg(F.sum("currentStock").alias("currentStock"))
 
 
-def store_stock_snapshot(spark: SparkSession, paths: StreamPaths) -> DataFrame:
-    """Current stock per store and item from its snapshot log."""
-    return compact_latest(read_snapshot_log(spark, paths.store_stock_log), ["storeName", "itemID"])
+def store_stock_snapshot(spark: SparkSession, paths: StreamPaths, source: str = "state") -> DataFrame:
+    """Current stock per store and item; ``source`` as for :func:`stock_snapshot`."""
+    return _snapshot(spark, paths.store_stock_checkpoint, paths.store_stock_log, STORE_ITEM_KEYS, source)
 
 
 def changelog_batch(
@@ -298,10 +301,12 @@ def item_changelog_query(
     interval: str | None = None,
     block_width: int | None = None,
     keys: tuple[str, ...] = ITEM_KEYS,
+    policy: str = "strict",
 ):
     """Start the every-change changelog stream (per item, or per store and
-    item with ``keys=STORE_ITEM_KEYS``); returns the StreamingQuery."""
-    tx = decode_transactions(envelope_stream, "permissive", keep=("partition", "offset"))
+    item with ``keys=STORE_ITEM_KEYS``); returns the StreamingQuery. ``policy``
+    as for :func:`item_stock_query`."""
+    tx = decode_transactions(envelope_stream, policy, keep=("partition", "offset"))
     checkpoint, _, _ = paths.changelog_paths(tuple(keys))
 
     def process(batch: DataFrame, batch_id: int) -> None:

@@ -15,14 +15,15 @@ from skuflow.operators.lookup import stock_lookup
 from skuflow.schema import STOCK_STORE_NAME
 
 
-def read_stock_state(spark: SparkSession, checkpoint: str, batch_id: int | None = None) -> DataFrame:
-    """Per-item stock held in the aggregate's state: ``itemID, currentStock, partition_id``."""
+def read_stock_state(spark: SparkSession, checkpoint: str, batch_id: int | None = None,
+                     keys: tuple[str, ...] = ("itemID",)) -> DataFrame:
+    """Stock per key held in the aggregate's state: ``<keys>, currentStock, partition_id``."""
     r = spark.read.format("statestore")
     if batch_id is not None:
         r = r.option("batchId", str(batch_id))
     raw = r.load(checkpoint)
     return raw.select(
-        F.col("key.itemID").alias("itemID"),
+        *[F.col(f"key.{k}").alias(k) for k in keys],
         F.col("value").getField(raw.schema["value"].dataType.fieldNames()[0]).cast("long").alias("currentStock"),
         F.col("partition_id"),
     )

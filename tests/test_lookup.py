@@ -98,3 +98,19 @@ def test_first_event_by_payload_odd_field_names(spark):
     env = spark.createDataFrame(rows, ENVELOPE)
     got = [(r.match, r.offset) for r in first_event_by_payload(env, "store.name").collect()]
     assert got == [("S1", 0)]
+
+
+def test_stamp_with_a_given_clock(spark, tx):
+    assert stamp_transactions(tx([("s", "A", "SALE", 1)]), "2024-01-01T00:00:00").first().timestamp == "2024-01-01T00:00:00"
+
+
+def test_finders_place_order_and_plan(spark):
+    rows = [("t", 1, 0, "k", "late"), ("t", 0, 2**62, "k", "a"), ("t", 0, 2**62, "k", "b"), ("u", 0, 2**62, "k", "0"),
+            ("t", 2, None, "n", "first"), ("t", 2, 0, "n", "second"), ("t", 0, 5, None, "no key")]
+    env = spark.createDataFrame(rows, "topic string, partition int, offset long, key string, value string")
+    out = first_event_by_key(env)
+    assert {r.key: (r.topic, r.partition, r.offset, r.value) for r in out.collect()} == {
+        "k": ("t", 0, 2**62, "a"), "n": ("t", 2, None, "first")}
+    # the aggregate over all records keeps one number a key and hashes
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate(keys=[__match" in plan and "partial_min(__place" in plan

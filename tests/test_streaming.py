@@ -2,6 +2,7 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from skuflow.config import scratch_path
@@ -58,18 +59,18 @@ def test_g10_g11_stock_stream_and_replay(spark):
         _msg(2, "Store-4", "Item-2", "RESTOCK", 20),
     ]
     _deliver(spark, src, g10)
-    P.run_to_end(P.item_stock_query(read_topic_files(spark, src, streaming=True), paths))
+    P.run_to_end(P.item_stock_query(read_topic_files(spark, src, streaming=True), paths, policy="permissive"))
     _deliver(spark, src, [_msg(3, "Store-4", "Item-3", "RESTOCK", 30), _msg(4, "Store-4", "Item-3", "SALE", 5, 6.0),
                           ("items", 0, 5, "x", "not json")])
-    P.run_to_end(P.item_stock_query(read_topic_files(spark, src, streaming=True), paths))
+    P.run_to_end(P.item_stock_query(read_topic_files(spark, src, streaming=True), paths, policy="permissive"))
     snap = {r.itemID: r.currentStock for r in P.stock_snapshot(spark, paths).collect()}
     assert snap == {"Item-1": 3, "Item-2": 20, "Item-3": 25}
-    assert {r.itemID: r.currentStock for r in P.stock_snapshot(spark, paths, source="state").collect()} == snap
+    assert {r.itemID: r.currentStock for r in P.stock_snapshot(spark, paths, source="log").collect()} == snap
     # update mode: the second batch only re-emitted the item it changed
     log = P.read_snapshot_log(spark, paths.stock_log)
     assert {r.itemID for r in log.where(F.col("batch_id") == 1).collect()} == {"Item-3"}
     # restart on the same checkpoint with nothing new: nothing is re-read
-    q = P.item_stock_query(read_topic_files(spark, src, streaming=True), paths)
+    q = P.item_stock_query(read_topic_files(spark, src, streaming=True), paths, policy="permissive")
     P.run_to_end(q)
     assert not any(p.get("numInputRows", 0) for p in q.recentProgress)
     # state readers
@@ -280,3 +281,24 @@ def test_state_settings_pinned_into_checkpoint_and_session_restored(spark):
         assert S.store_metadata(spark, paths.stock_checkpoint).first().numPartitions == 3
     finally:
         spark.conf.set(key, before_provider)
+
+
+def test_every_change_stream_stops_on_a_corrupt_record(spark):
+    paths = P.StreamPaths(scratch_path(spark, "t-strict-changes"))
+    src = f"{paths.root}/topic"
+    _deliver(spark, src, [*G9, ("items", 0, 4, "k", "{not json")])
+    with pytest.raises(Exception, match="corrupt item transaction"):
+        P.run_to_end(P.item_changelog_query(read_topic_files(spark, src, streaming=True), paths))
+    P.run_to_end(P.item_changelog_query(read_topic_files(spark, src, streaming=True), paths, policy="permissive"))
+    assert P.read_changelog(spark, paths).count() == len(G9)
+
+
+def test_store_stock_from_state_and_log(spark):
+    paths = P.StreamPaths(scratch_path(spark, "t-store-state"))
+    src = f"{paths.root}/topic"
+    for m in G9:
+        _deliver(spark, src, [m])
+        P.run_to_end(P.store_item_stock_query(read_topic_files(spark, src, streaming=True), paths))
+    for source in ("state", "log"):
+        got = {tuple(r) for r in P.store_stock_snapshot(spark, paths, source).collect()}
+        assert got == {("Store-1", "Item-1", 4), ("Store-2", "Item-1", 2)}
