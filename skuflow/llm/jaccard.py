@@ -290,16 +290,18 @@ def shared(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _verify_group(rows: list[tuple], threshold: float) -> list[tuple]:
-    """(node, links, its component's first node) of one pair of blocks."""
+def _verify_group(rows: list[tuple], i: int, j: int, threshold: float) -> list[tuple]:
+    """(node, links, its component's first node) of one pair of blocks; either may be empty."""
     node, side, copies, sets = zip(*rows)
+    if i != j and len(set(side)) == 1:
+        return []
     sets = [np.frombuffer(s, np.uint64) for s in sets]
     n = np.array([len(s) for s in sets], np.float64)
     both = shared(sets).astype(np.float64)
     linked = both * (1 + threshold) >= threshold * (n[:, None] + n[None, :]) - 1e-6
     np.fill_diagonal(linked, False)
-    side = np.array(side)
-    if len(set(side)) > 1:   # pairs within a block are counted where the block meets itself
+    if i != j:   # pairs within a block are counted where the block meets itself
+        side = np.array(side)
         linked &= side[:, None] != side[None, :]
     links = linked @ np.array(copies, np.int64)
     root = _roots(linked)
@@ -321,12 +323,12 @@ def _verifier(threshold: float):
             for root, i, j, *row in zip(*d):
                 if (root, i, j) != here:
                     if rows:
-                        done += _verify_group(rows, threshold)
+                        done += _verify_group(rows, *here[1:], threshold)
                     here, rows = (root, i, j), []
                 rows.append(tuple(row))
             yield out(done)
         if rows:
-            yield out(_verify_group(rows, threshold))
+            yield out(_verify_group(rows, *here[1:], threshold))
 
     return verify
 

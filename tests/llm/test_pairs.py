@@ -69,6 +69,17 @@ def test_jaccard_large_buckets(spark, monkeypatch):
     check_classes(spark, near_copies(300, seed=8))
 
 
+def test_jaccard_groups_with_empty_blocks(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK_TOKENS", 120)
+    r = random.Random(6)
+    texts = []
+    for g in range(24):   # groups of two and three texts of about 100 n-grams: two or three blocks, some of them empty
+        w = [f"g{g}w{r.randrange(5000)}" for _ in range(104)]
+        texts += [" ".join([*w, *(f"end{g}x{k}" for _ in range(k))]) for k in range(2 + g % 2)]
+    _, got = check_classes(spark, texts)
+    assert {x["n_links"] for x in got.values()} == {1, 2}
+
+
 def test_components_of_a_long_chain(spark):
     edges = [(i, i + 1) for i in range(300)] + [(1000 + i, 1000) for i in range(1, 50)]
     got = {r["node"]: r["root"] for r in jaccard.components(spark.createDataFrame(edges, "a long, b long")).collect()}
