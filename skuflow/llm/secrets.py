@@ -34,12 +34,19 @@ LEAST_VALUE = 8
 # The method's own candidates.
 MORE = {
     "jwt": re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
-    "pem": re.compile(r"-----BEGIN [A-Z ]{0,24}PRIVATE KEY-----"),
+    # up to its end marker; without one, the header lines and the base64 lines that follow
+    "pem": re.compile(r"-----BEGIN [A-Z ]{0,24}PRIVATE KEY-----"
+                      r"(?:[^-]*+(?:-(?!----)[^-]*+)*+-----END [A-Z ]{0,24}PRIVATE KEY-----"
+                      r"|(?:(?:\s|\\[nr]){1,8}[A-Za-z-]{1,40}: [^\r\n\\]*){0,8}(?:(?:\s|\\[nr]){1,8}[A-Za-z0-9+/=]{16,})*"
+                      r"(?:(?:\s|\\[nr]){1,8}[A-Za-z0-9+/=]{1,15}\s*\Z)?)"),
     "prefixed": re.compile(r"\b(?:gh[pousr]_[A-Za-z0-9]{30,}|xox[abprs]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,}"
                            r"|AIza[A-Za-z0-9_-]{30,}|glpat-[A-Za-z0-9_-]{16,})"),
     "opaque": re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{24,}(?![A-Za-z0-9+/_-])"),
 }
 KINDS = (*BASE_KINDS, *MORE)
+# Kinds whose form proves them, also where an assignment holds such a value: they need no digit.
+PROVEN = {"access": ACCESS, "jwt": MORE["jwt"], "prefixed": MORE["prefixed"]}
+_PEM_BODY = re.compile(r"KEY-----[\s\S]*?[A-Za-z0-9+/=]{16}")
 _DIGIT = re.compile(r"[0-9]")
 _OPAQUE_HINT = re.compile(r"[0-9][A-Za-z+/_-]*[0-9]")
 
@@ -50,8 +57,13 @@ def entropy(value: str) -> float:
     return -sum(c / n * math.log2(c / n) for c in Counter(value).values()) if n else 0.0
 
 
-def looks_random(value: str) -> bool:
-    return len(value) >= LEAST_VALUE and entropy(value) >= 3.0 and bool(_DIGIT.search(value))
+def looks_random(value: str, kind: str = "opaque") -> bool:
+    """Varied, and with a digit unless its form proves it; a PEM marker without key lines is no secret."""
+    if len(value) < LEAST_VALUE or entropy(value) < 3.0:
+        return False
+    if kind == "pem":
+        return bool(_PEM_BODY.search(value))
+    return bool(_DIGIT.search(value)) or any(p.search(value) for p in PROVEN.values())
 
 
 def base_spans(text: str) -> list[tuple[str, int, int, str]]:
@@ -66,7 +78,7 @@ def base_spans(text: str) -> list[tuple[str, int, int, str]]:
 
 
 def more_spans(text: str, taken: list[tuple[str, int, int, str]]) -> list[tuple[str, int, int, str]]:
-    """Candidates of the method that overlap no base span."""
+    """Candidates of the method that overlap no base span (a PEM block may: it holds more than that span)."""
     out: list[tuple[str, int, int, str]] = []
     cover = None
     for kind, pattern in MORE.items():
@@ -80,7 +92,7 @@ def more_spans(text: str, taken: list[tuple[str, int, int, str]]) -> list[tuple[
                 cover = bytearray(len(text))
                 for _, a, z, _ in taken:
                     cover[a:z] = b"\1" * (z - a)
-            if not any(cover[m.start():m.end()]):
+            if kind == "pem" or not any(cover[m.start():m.end()]):
                 cover[m.start():m.end()] = b"\1" * len(v)
                 out.append((kind, m.start(), m.end(), v))
     return out
@@ -109,7 +121,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             cols["base_sha256"].append(hashlib.sha256(span_text(base).encode()).hexdigest())
             cols["found"].append([
                 {"kind": k, "start": s, "end": e, "hash": hashlib.sha256(v.encode()).digest()[:16],
-                 "random": looks_random(v), "base": i < len(base), "value_at": e - len(v)} for i, (k, s, e, v) in enumerate([*base, *more])])
+                 "random": looks_random(v, k), "base": i < len(base), "value_at": e - len(v)} for i, (k, s, e, v) in enumerate([*base, *more])])
         ints = [pa.array(cols[f"n_{k}"], pa.int64()) for k in BASE_KINDS]
         yield pa.RecordBatch.from_arrays(
             [*(b.column(c) for c in ("_id", "_owner", "_repo", "_k1", "_k2")), *ints, pa.array(cols["base_sha256"]),
