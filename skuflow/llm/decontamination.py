@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skuflow.llm.common import written
+
 PASSAGE, STRIDE = 200, 100
 ERROR_RATE = 0.05
 GROUP_CHARS = 20_000_000   # of benchmark text searched for in one pass
@@ -140,21 +142,31 @@ def with_hits(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", ite
     Null and empty texts and items match nothing; repeated items are one item; an
     item of under 1 / rate characters must stand unchanged. The items go to the tasks in
     groups of at most ``group_chars`` characters (and one item); a larger benchmark
-    takes more passes, all of which see every row.
+    takes more passes, all of which see every row, and one after the other.
     """
     items = benchmark.select(F.col(item_col).alias("i"), F.col(item_text).alias("t")).where(F.col("t").isNotNull())
     kind = dict(items.dtypes)["i"]
     total = items.agg(F.sum(F.length("t"))).first()[0] or 0
     groups = max(1, -(-total // group_chars))
-    out = docs
-    columns = []
-    for g in range(groups):
-        part = items.where(F.pmod(F.xxhash64("i", "t"), F.lit(groups)) == g).distinct().collect()
-        matcher = Matcher([(r["i"], r["t"]) for r in part], rate)
+    hit = f"array<struct<item_id: {kind}, distance: long, passages: long>>"
 
-        out = out.withColumn(f"_hits{g}", _finder(matcher, kind)(F.col(text_col)))
-        columns.append(f"_hits{g}")
-    return out.withColumn(name, F.concat(*columns)).drop(*columns)
+    def finder(g: int):
+        part = items.where(F.pmod(F.xxhash64("i", "t"), F.lit(groups)) == g).distinct().collect()
+        return _finder(Matcher([(r["i"], r["t"]) for r in part], rate), kind)
+
+    text = F.col(f"`{text_col}`")
+    if groups == 1:
+        return docs.withColumn(name, finder(0)(text))
+    # hits depend on the text alone: each group leaves a table of the texts it hits, before the next is collected
+    keys = {"_t1": F.xxhash64(text), "_t2": F.xxhash64(F.lit("second"), text)}
+    found = None
+    for g in range(groups):
+        one = docs.withColumns(keys).select("_t1", "_t2", finder(g)(text).alias("_h")).where("size(_h) > 0")
+        one = written(one.dropDuplicates(["_t1", "_t2"]), "hits")
+        found = one if found is None else found.unionByName(one)
+    found = found.groupBy("_t1", "_t2").agg(F.flatten(F.collect_list("_h")).alias(name))
+    out = docs.withColumns(keys).join(found, ["_t1", "_t2"], "left")
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns], F.coalesce(F.col(name), F.array().cast(hit)).alias(name))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",

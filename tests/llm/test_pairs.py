@@ -191,6 +191,16 @@ def test_decontamination_against_brute_force(spark):
     assert split == want
 
 
+def test_benchmark_groups_are_searched_one_by_one(spark, monkeypatch):
+    d = spark.createDataFrame([(1, "a " * 60 + "b " * 60), (2, None), (3, "c " * 60), (3, "c " * 60), (4, "d")], "doc_id long, text string")
+    b = spark.createDataFrame([(i, f"{x} " * 50) for i, x in enumerate("abcefgh")], "item_id long, text string")
+    whole = decontamination.with_hits(d, b)
+    parts = decontamination.with_hits(d, b, group_chars=100)
+    assert "find(" in whole._jdf.queryExecution().toString() and "find(" not in parts._jdf.queryExecution().toString()
+    rows = [sorted((r["doc_id"], sorted(map(tuple, r["hits"]))) for r in x.collect()) for x in (whole, parts)]
+    assert rows[0] == rows[1] and [len(h) for _, h in rows[0]] == [2, 0, 1, 1, 0]
+
+
 def test_decontamination_odd_and_empty_tables(spark):
     b = spark.read.parquet(f"{SF}/benchmark.parquet")
     assert decontamination.contaminated(odd(spark), b).collect() == []
