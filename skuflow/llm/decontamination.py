@@ -1,7 +1,7 @@
 """Benchmark decontamination: pigeonhole edit matching.
 
-Items are normalised (lower case, single blanks) and long ones cut into overlapping
-passages. A passage of m characters may differ by k = floor(rate * m) edits. Cut
+Items are normalised (lower case, single blanks); a long one is searched for as a whole
+and cut into overlapping passages. A passage or item of m characters may differ by k = floor(rate * m) edits. Cut
 into k + 1 pieces, any text within k edits holds at least one piece unchanged; an
 automaton over all pieces finds those places, and Myers' bit-parallel distance
 verifies the text around each of them.
@@ -81,9 +81,13 @@ class Matcher:
         import ahocorasick
 
         self.table: list[tuple[object, str, int]] = []
+        self.wholes: set[int] = set()    # numbers of long items as they are
         places: dict[str, list[tuple[int, int]]] = {}
         for item, text in self.items:
-            for p in passages(normal(text)):
+            t = normal(text)
+            for p in [*passages(t), *([t] if len(t) > PASSAGE else [])]:
+                if len(p) > PASSAGE:
+                    self.wholes.add(len(self.table))
                 k, parts = pieces(p, self.rate)
                 for offset, part in parts:
                     places.setdefault(part, []).append((len(self.table), offset))
@@ -98,7 +102,8 @@ class Matcher:
         return {"rate": self.rate, "items": self.items, "machine": None}
 
     def find(self, text: str | None) -> list[dict]:
-        """Items of which a passage stands in the text: least distance and passages found."""
+        """Items that stand in the text, or a passage of them: least distance of their passages and how
+        many were found; if none was, the whole item's distance and 0."""
         if self.machine is None:
             self._build()
         t = normal(text)
@@ -109,8 +114,11 @@ class Matcher:
             for n, offset in at:
                 starts.setdefault(n, set()).add(end - size + 1 - offset)
         found: dict[object, list[int]] = {}
-        for n, diagonals in starts.items():
+        whole: dict[object, int] = {}
+        for n, diagonals in sorted(starts.items(), key=lambda x: x[0] in self.wholes):
             item, p, k = self.table[n]
+            if n in self.wholes and item in found:
+                continue
             best = k + 1
             run: list[int] = []
             for d in [*sorted(diagonals), None]:
@@ -121,9 +129,12 @@ class Matcher:
                         break
                 if d is not None:
                     run.append(d)
-            if best <= k:
+            if best <= k and n in self.wholes:
+                whole[item] = min(best, whole.get(item, best))
+            elif best <= k:
                 found.setdefault(item, []).append(best)
-        return [{"item_id": i, "distance": min(x), "passages": len(x)} for i, x in found.items()]
+        return [{"item_id": i, "distance": min(x), "passages": len(x)} for i, x in found.items()] + [
+            {"item_id": i, "distance": x, "passages": 0} for i, x in whole.items()]
 
 
 def _finder(matcher: Matcher, kind: str):

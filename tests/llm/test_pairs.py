@@ -191,6 +191,25 @@ def test_decontamination_against_brute_force(spark):
     assert split == want
 
 
+def test_whole_items_have_their_own_budget():
+    r = random.Random(12)
+    draw = lambda n: "".join(r.choice("abcdefghij") for _ in range(n))
+    items = [(i, draw(n)) for i, n in enumerate([233, 233, 300, 640, 150])]
+    matcher, some = decontamination.Matcher(items, 0.05), 0
+    for _ in range(40):
+        for item, t in items:
+            x = list(t)
+            for at in r.sample(range(33, min(len(t), 200)), r.choice([10, 11, 11, 12])):
+                x[at] = "z"
+            text = draw(50) + "".join(x) + draw(50)
+            got = {h["item_id"]: h for h in matcher.find(text)}
+            best = edit(t, text)
+            if best <= len(t) * 0.05:
+                assert item in got
+                some += got[item]["passages"] == 0 and got[item]["distance"] == best
+    assert some > 5
+
+
 def test_benchmark_groups_are_searched_one_by_one(spark, monkeypatch):
     d = spark.createDataFrame([(1, "a " * 60 + "b " * 60), (2, None), (3, "c " * 60), (3, "c " * 60), (4, "d")], "doc_id long, text string")
     b = spark.createDataFrame([(i, f"{x} " * 50) for i, x in enumerate("abcefgh")], "item_id long, text string")
