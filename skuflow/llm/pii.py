@@ -115,6 +115,7 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     def judged(s: Column) -> Column:
         v, r, b, n = value(s), rank(s), before(s), F.length(digits(value(s)))
         ok = base_ok(r, v)
+        same = v.rlike(r"^(.)\1{7,}$") | ((r == 2) & digits(v).rlike(r"^(.)\1{7,}$"))
         return F.struct(
             r.alias("rank"), s["start"].alias("start"), s["end"].alias("end"), ok.alias("base"),
             vote(ok, (r < len(BASE_KINDS)) & ~ok).alias("pattern"),
@@ -122,8 +123,8 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                  | ((r == 7) & v.rlike("|".join(FIRST_NAMES))),
                  ((r == 0) & ~v.rlike(tld)) | ((r == 5) & ~F.substring(v, 1, 2).isin(*COUNTRIES))).alias("gazetteer"),
             vote(b.rlike(CUES), b.rlike(ANTI_CUES)).alias("cue"),
-            vote(((r == 2) & (n >= 13) & (n <= 16)) | ((r.isin(3, 6)) & v.rlike("[ ()-]")) | ((r == 1) & ~v.rlike(r"^0|\.0[0-9]")),
-                 v.rlike(r"^(?:.)\1{7,}$") | ((r == 1) & v.rlike(r"^0\.|^[0-9]\.[0-9]\.[0-9]\.[0-9]$"))).alias("shape"),
+            vote(((r == 2) & (n >= 13) & (n <= 16) & ~same) | ((r.isin(3, 6)) & v.rlike("[ ()-]")) | ((r == 1) & ~v.rlike(r"^0|\.0[0-9]")),
+                 same | ((r == 1) & v.rlike(r"^0\.|^[0-9]\.[0-9]\.[0-9]\.[0-9]$"))).alias("shape"),
             F.least(F.lit(5), F.floor(n / 4)).cast("int").alias("length"),
             F.when(b.rlike(r"[A-Za-z]\W*$"), 1).otherwise(0).alias("after_word"))
 

@@ -188,6 +188,13 @@ def test_pii_base_against_brute_force(spark):
     assert len(n) == 4
 
 
+def test_repeated_characters_are_voted_against(spark):
+    t = ["card 0000000000000000", "card 0000-0000-0000-0000", "card 4111111111111111"]
+    df = spark.createDataFrame(list(enumerate(t)), "doc_id long, text string")
+    got = {r["_id"]: [s["shape"] for s in r["spans"] if s["rank"] == 2] for r in pii.candidates(df).collect()}
+    assert got == {0: [-1], 1: [-1], 2: [1]}
+
+
 def test_em_learns_which_labeler_to_trust():
     good, bad = (1, 1, 1, 0), (-1, 0, -1, 0)
     post, reliability = pii.fit_em([(good, 0, 90), (bad, 0, 60), ((1, 0, 0, 0), 0, 5), ((-1, 1, 1, 0), 0, 5)])
