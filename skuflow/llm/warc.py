@@ -91,9 +91,9 @@ def parse_header(piece: bytes) -> tuple[dict[str, str], int] | None:
     return (fields, end + 4) if fields.get("content-length", "").isdigit() else None
 
 
-_PIECE = ["file", "block", "at", "next", "type", "record", "refers", "declared", "bytes", "size", "sha1"]
+_PIECE = ["file", "block", "at", "next", "type", "record", "refers", "declared", "bytes", "size", "sha1", "read"]
 _PIECE_DDL = ("file string, block long, at long, next long, type string, record string, refers string, declared string, "
-              "bytes long, size long, sha1 string")
+              "bytes long, size long, sha1 string, read long")
 _PIECE_ARROW = pa.schema([(n, pa.string() if n in ("file", "type", "record", "refers", "declared", "sha1") else pa.int64())
                           for n in _PIECE])
 
@@ -109,7 +109,7 @@ def _emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             raw = value.as_py().encode("utf-8")
             head = parse_header(raw)
             if head is None:
-                rows.append((file, block, at, None, None, None, None, None, None, len(raw), None))
+                rows.append((file, block, at, None, None, None, None, None, None, len(raw), None, None))
             else:
                 f, size = head
                 n = int(f["content-length"])
@@ -117,7 +117,7 @@ def _emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 length = f.get("warc-payload-length", "")
                 rows.append((file, block, at, at + size + n + len(END) + len(MAGIC), f.get("warc-type"), f.get("warc-record-id"),
                              f.get("warc-refers-to"), f.get("warc-payload-digest"), int(length) if length.isdigit() else None,
-                             len(raw), hashlib.sha1(raw[size:size + n]).hexdigest() if whole else None))
+                             len(raw), hashlib.sha1(raw[size:size + n]).hexdigest() if whole else None, n if whole else None))
             at += len(raw) + len(MAGIC)
         yield pa.RecordBatch.from_pylist([dict(zip(_PIECE, r)) for r in rows], _PIECE_ARROW)
 
@@ -162,20 +162,22 @@ def reachable(candidates: DataFrame) -> DataFrame:
 
 def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        out = []
+        out, read = [], []
         for parts in b.column("parts").to_pylist():
             raw = MAGIC.join(p["value"] for p in sorted(parts, key=lambda p: p["at"])).encode("utf-8")
             fields, size = parse_header(raw)
             n = int(fields["content-length"])
             out.append(hashlib.sha1(raw[size:size + n]).hexdigest() if len(raw) == size + n + len(END) else None)
-        yield pa.RecordBatch.from_arrays([b.column("file"), b.column("own"), pa.array(out, pa.string())], ["file", "own", "joined"])
+            read.append(len(raw[size:size + n]))
+        yield pa.RecordBatch.from_arrays([b.column("file"), b.column("own"), pa.array(out, pa.string()), pa.array(read, pa.int64())],
+                                         ["file", "own", "joined", "joined_read"])
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """Verified records: page (text), type, refers (text), declared and recomputed digest, bytes.
 
     ``sha1`` is the digest of the stored payload as read (null for a record that the file
-    cuts off). A file that does not begin with a record gives none.
+    cuts off), ``bytes`` its length as read; for a revisit, the length its header gives. A file that does not begin with a record gives none.
     """
     rel = written(_pieces(spark, path).mapInArrow(_emit, _PIECE_DDL), "warc-pieces")
     # a block starts where all earlier blocks of its file end: every byte is in one piece or one magic
@@ -198,11 +200,12 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     raw = _pieces(spark, path).mapInArrow(_raw, "file string, block long, at long, value string").join(base, ["file", "block"])
     parts = (raw.withColumn("at", F.col("at") + shift).join(need, ["file", "at"])
              .groupBy("file", "own").agg(F.collect_list(F.struct("at", "value")).alias("parts")))
-    joined = parts.mapInArrow(_assemble, "file string, own long, joined string").withColumnRenamed("own", "at")
+    joined = parts.mapInArrow(_assemble, "file string, own long, joined string, joined_read long").withColumnRenamed("own", "at")
     page = lambda c: F.regexp_extract(c, "^<urn:page:(.*)>$", 1)
     return records.join(written(joined, "warc-joined"), ["file", "at"], "left").select(
         page("record").alias("page"), "type", page("refers").alias("refers"),
-        F.regexp_replace("declared", "^sha1:", "").alias("declared"), "bytes", F.coalesce("sha1", "joined").alias("sha1"))
+        F.regexp_replace("declared", "^sha1:", "").alias("declared"), F.when(F.col("type") == "revisit", F.col("bytes")).otherwise(F.coalesce("read", "joined_read")).alias("bytes"),
+        F.coalesce("sha1", "joined").alias("sha1"))
 
 
 def round_trip(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
