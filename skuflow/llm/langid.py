@@ -162,18 +162,22 @@ def _excerpt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
         rows: int = TRAIN_ROWS, langs: int = TRAIN_LANGS) -> SubwordSoftmax | None:
-    """Fit on about ``rows`` texts of each of the ``langs`` most frequent languages, drawn by
-    a seeded hash; null languages and texts never train. None if nothing is left."""
+    """Fit on about ``rows`` texts of every language, drawn by a seeded hash; with more than
+    ``langs`` languages on fewer of each, ``rows`` * ``langs`` in all, and at least one. Null
+    languages and texts never train. None if nothing is left."""
     base = docs.select(F.col(id_col).alias("_id"), F.col(lang_col).alias("_lang"), F.col(text_col).alias("_text")).where(
         F.col("_lang").isNotNull() & F.col("_text").isNotNull())
-    counts = base.groupBy("_lang").count().orderBy(F.desc("count"), "_lang").limit(langs).collect()
+    h = F.xxhash64(F.lit(23), "_id", "_text")
+    place = F.pmod(h, F.lit(1_000_000))
+    counts = base.groupBy("_lang").agg(F.count(F.lit(1)).alias("count"), F.min(place).alias("least")).collect()
     if not counts:
         return None
-    share = docs.sparkSession.createDataFrame([(r["_lang"], min(1.0, rows / r["count"])) for r in counts], "_lang string, _p double")
-    h = F.xxhash64(F.lit(23), "_id", "_text")
-    drawn = (base.join(F.broadcast(share), "_lang").withColumn("_h", h)  # at most ``langs`` rows
-             .where(F.pmod("_h", F.lit(1_000_000)) < F.col("_p") * 1_000_000).select("_lang", "_h", "_text")
-             .mapInArrow(_excerpt, "_lang string, _h long, _text string").orderBy("_h").limit(2 * rows * len(counts)).collect())
+    each = min(rows, max(1, rows * langs // len(counts)))
+    share = docs.sparkSession.createDataFrame(
+        [(r["_lang"], max(1_000_000 * min(1.0, each / r["count"]), r["least"] + 1.0)) for r in counts], "_lang string, _p double")
+    drawn = (base.join(F.broadcast(share), "_lang").withColumn("_h", h)  # one row a language
+             .where(place < F.col("_p")).select("_lang", "_h", "_text")
+             .mapInArrow(_excerpt, "_lang string, _h long, _text string").orderBy("_h").limit((2 * each + 1) * len(counts)).collect())
     names = sorted(r["_lang"] for r in counts)
     at = {x: i for i, x in enumerate(names)}
     model = SubwordSoftmax(names)

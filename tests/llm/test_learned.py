@@ -57,6 +57,17 @@ def test_language_held_out(spark):
     assert len(sure) > 0.8 * len(held) and np.mean([r["lang_pred"] == lang[r["doc_id"]] for r in sure]) > 0.98
 
 
+def test_every_language_is_learned(spark, monkeypatch):
+    sampled = []
+    monkeypatch.setattr(langid.SubwordSoftmax, "fit", lambda self, x, y: sampled.append((self.langs, y)) or self)
+    docs = spark.createDataFrame([(100 * k + i, f"text {i}", f"l{k}") for k in range(30) for i in range(1 if k > 25 else 40)],
+                                 "doc_id long, text string, lang string")
+    model = langid.fit(docs, rows=10, langs=3)
+    names, y = sampled[0]
+    assert model.langs == names == sorted(f"l{k}" for k in range(30))
+    assert set(y) == set(range(30)) and len(y) < 3 * 30
+
+
 def test_subwords_do_not_depend_on_slices():
     model = langid.SubwordSoftmax(["a", "b"])
     model.table = np.random.default_rng(1).normal(size=(langid.BUCKETS, 2)).astype(np.float32)
