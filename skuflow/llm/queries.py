@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skuflow.llm import decontamination, jaccard, langid, licenses, mixing, pii, quality, rules, secrets, warc
+from skuflow.llm import (
+    alignment, conversations, decontamination, jaccard, langid, licenses, mixing, pii, quality, rules, secrets, tokens, warc,
+)
 from skuflow.llm.common import table
 
 KEEP_SCORE = 0.3
@@ -61,9 +63,30 @@ def op10_pii_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_scan(table(spark, sf_dir, "documents"))
 
 
+def _tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return alignment.pair_digests(docs, _tokenizer("byte_bpe_50k.json"), _tokenizer("piece_bpe_32k.model"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chats = table(spark, sf_dir, "conversations")
+    return conversations.repaired(conversations.damaged(chats), chats.select("conv_id"))
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.token_counts(table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     ops = (op1_license_scan, op2_mix_sources, op3_secret_scan, op4_quality_classifier, op5_quality_rules,
-           op6_ngram_jaccard_join, op7_language_id, op8_warc_round_trip, op9_benchmark_decontamination, op10_pii_scan)
+           op6_ngram_jaccard_join, op7_language_id, op8_warc_round_trip, op9_benchmark_decontamination, op10_pii_scan,
+           op11_cross_tokenizer_alignment, op12_conversation_repair, op13_token_counts)
     return {f.__name__: f for f in ops}
 
 
