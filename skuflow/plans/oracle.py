@@ -208,6 +208,14 @@ def _codec_and_streams(q: dict[str, str]) -> None:
         ) GROUP BY itemID
     """
     q["item_changelog_stream"] = _changelog(valid)
+    q["item_changelog_published"] = f"""
+        SELECT id, itemID, currentStock, row_number() OVER (PARTITION BY itemID ORDER BY id) AS change_no
+        FROM ({_changelog(valid)})
+    """
+    q["seeded_changelog_stream"] = f"""
+        SELECT c.id, c.itemID, CAST(c.currentStock + coalesce(o.currentStock, 0) AS BIGINT) AS currentStock
+        FROM ({_changelog(valid)}) c LEFT JOIN ({_stock(TX_LINEITEM)}) o ON c.itemID = o.itemID
+    """
     q["stock_point_lookup"] = f"""
         SELECT r.itemID, s.itemID IS NOT NULL AS found, s.currentStock
         FROM (SELECT 'Item-' || CAST(p_partkey AS VARCHAR) AS itemID FROM part) r

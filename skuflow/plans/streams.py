@@ -15,9 +15,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skuflow.config import scratch_path
+from skuflow.operators.changelog import running_sum
 from skuflow.operators.stock import item_stock
 from skuflow.sources import messages as ms
 from skuflow.sources import tables as tb
+from skuflow.sources.codec import decode_inventory
+from skuflow.streaming import changes as C
 from skuflow.streaming import pipeline as P
 from skuflow.streaming import state as S
 
@@ -110,6 +113,40 @@ def q_store_item_changelog_stream(spark: SparkSession, sf_dir: str) -> DataFrame
     return P.read_changelog(spark, paths, keys=P.STORE_ITEM_KEYS)
 
 
+def q_item_changelog_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every change read back from the topic it was published on: the source record's id, the
+    item's new stock, and which of the item's records on the topic it is. Two runs of the stateful
+    query on one checkpoint."""
+    paths, src = _source(spark, "item_changelog_published")
+    topic = f"{paths.root}/inventory"
+    for seg in deliveries(ms.events_messages(spark, sf_dir, foreign=False), 2):
+        ms.topic_to_files(seg, src, mode="append")
+        P.run_to_end(C.changes_query(_stream(spark, src), paths.changelog_checkpoint, publish=C.file_publisher(topic)))
+    sent = C.published_changes(C.read_published(spark, topic)).withColumn("one", F.lit(1))
+    # an item's records are in one topic partition, in the order of its offsets
+    nth = running_sum(sent, ["key"], "offset", "one", "change_no")
+    stock = decode_inventory(nth, "strict", keep=("source_offset", "change_no"))
+    return stock.select(F.col("source_offset").alias("id"), "itemID", "currentStock", "change_no")
+
+
+def q_seeded_changelog_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every change on top of an opening balance, taken in as the operator's initial state: a
+    second run on the checkpoint is given the opening again and does not add it."""
+    paths, src = _source(spark, "seeded_changelog_stream")
+    opening = written_opening(spark, sf_dir, paths)
+    for seg in deliveries(ms.events_messages(spark, sf_dir, foreign=False), 2):
+        ms.topic_to_files(seg, src, mode="append")
+        P.run_to_end(C.changes_query(_stream(spark, src), paths.changelog_checkpoint, table=paths.changelog, opening=opening))
+    return C.read_changes(spark, paths.changelog)
+
+
+def written_opening(spark: SparkSession, sf_dir: str, paths: P.StreamPaths) -> DataFrame:
+    """The stock booked from order lines, one row an item, as a table."""
+    path = f"{paths.root}/opening"
+    item_stock(tb.lineitem_transactions(spark, sf_dir)).write.parquet(path)
+    return spark.read.schema("itemID string, currentStock long").parquet(path)
+
+
 def q_stock_point_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = run_stock_stream(spark, sf_dir, "stock_point_lookup")
     return S.stock_point_lookup(spark, paths.stock_checkpoint, tb.item_requests(spark, sf_dir))
@@ -123,6 +160,8 @@ def q_store_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
 STREAMS = {
     "item_stock_stream": q_item_stock_stream,
     "item_changelog_stream": q_item_changelog_stream,
+    "item_changelog_published": q_item_changelog_published,
+    "seeded_changelog_stream": q_seeded_changelog_stream,
     "store_item_stock_stream": q_store_item_stock_stream,
     "store_item_changelog_stream": q_store_item_changelog_stream,
     "seeded_stock_stream": q_seeded_stock_stream,

@@ -35,6 +35,7 @@ from skuflow.sources import kafka as kf
 from skuflow.sources.codec import decode_transactions
 from skuflow.sources.messages import read_topic_files
 from skuflow.streaming import pipeline as P
+from skuflow.streaming.changes import changes_query, file_publisher, kafka_publisher
 from skuflow.streaming.sinks import console_trace_sink, kafka_inventory_sink
 
 
@@ -49,6 +50,7 @@ class AppConfig:
     policy: str = "permissive"
     console: bool = False
     store_level: bool = False  # also keep the stock per store and item
+    every_change: bool = False  # publish every change, not one per item and micro-batch
     available_now: bool = False
     trigger_interval: str = "10 seconds"
     max_offsets_per_trigger: int | None = None
@@ -67,7 +69,13 @@ def start(spark: SparkSession, cfg: AppConfig) -> dict[str, object]:
     root = f"{cfg.output_path or checkpoint_root(spark)}/{cfg.application_id}"
     paths = P.StreamPaths(root)
     queries: dict[str, object] = {}
-    if cfg.kafka_options:
+    if cfg.every_change:
+        send = (kafka_publisher(cfg.output_topic, cfg.kafka_options) if cfg.kafka_options
+                else file_publisher(f"{root}/topics/{cfg.output_topic}"))
+        queries["inventory"] = changes_query(
+            _source(spark, cfg), paths.changelog_checkpoint, publish=send, policy=cfg.policy,
+            available_now=cfg.available_now, interval=cfg.trigger_interval)
+    elif cfg.kafka_options:
         stock = item_stock(decode_transactions(_source(spark, cfg), cfg.policy))
         w = kafka_inventory_sink(stock, cfg.output_topic, cfg.kafka_options, paths.stock_checkpoint)
         queries["inventory"] = P.start_stateful(spark, w, cfg.available_now, cfg.trigger_interval)
@@ -80,7 +88,7 @@ def start(spark: SparkSession, cfg: AppConfig) -> dict[str, object]:
             _source(spark, cfg), paths, cfg.available_now, cfg.trigger_interval, policy=cfg.policy
         )
     if cfg.console:
-        stock = item_stock(decode_transactions(_source(spark, cfg), "permissive"))
+        stock = item_stock(decode_transactions(_source(spark, cfg), cfg.policy))
         w = console_trace_sink(stock, f"{root}/checkpoint/console")
         queries["console"] = P.start_stateful(spark, w, cfg.available_now, cfg.trigger_interval)
     if cfg.policy == "permissive":
@@ -166,12 +174,13 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--ca-file", help="certificates of the brokers' authority")
     ap.add_argument("--policy", choices=["strict", "permissive"], default="permissive")
     ap.add_argument("--console", action="store_true")
+    ap.add_argument("--every-change", action="store_true", help="publish every change of an item's stock, in its order")
     ap.add_argument("--store-level", action="store_true", help="also keep the stock per store and item")
     ap.add_argument("--available-now", action="store_true")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName("skuflow-inventory").getOrCreate()
     cfg = AppConfig(input_path=a.input_path, output_path=a.output_path, policy=a.policy,
-                    console=a.console, store_level=a.store_level, available_now=a.available_now, trigger_interval=a.trigger_interval,
+                    console=a.console, store_level=a.store_level, every_change=a.every_change, available_now=a.available_now, trigger_interval=a.trigger_interval,
                     max_offsets_per_trigger=a.max_offsets_per_trigger)
     props = read_properties(a.properties, profile=a.profile)
     client = kf.client_properties(props, a.brokers)
