@@ -16,11 +16,17 @@ task. Instead the order axis is cut into fixed-width blocks:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from skuflow.config import scratch_path
 from skuflow.operators.stock import signed_delta
 
 # Rows per (key, block) window partition, at most, for a unique integer order.
@@ -87,6 +93,88 @@ def running_sum(
     )
 
 
+def _local_sums(n_keys: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Running sums along a sorted partition: of the last column, within equal values of the first ``n_keys``."""
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, at = TaskContext.get().partitionId(), 0
+        last: tuple | None = None
+        carried, first = 0, True
+        for b in batches:
+            n = b.num_rows
+            if not n:
+                continue
+            # a null value adds nothing
+            value = pc.fill_null(b.column(b.num_columns - 1), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            new = np.zeros(n, bool)
+            for c in b.columns[:n_keys]:
+                code = pc.fill_null(pc.dictionary_encode(c, null_encoding="encode").indices, -1).to_numpy()
+                new[1:] |= code[1:] != code[:-1]
+            head = tuple(c[0].as_py() for c in b.columns[:n_keys])
+            if head != last:
+                first, carried = last is None, 0
+            start = np.flatnonzero(np.append(True, new[1:]))
+            total = np.cumsum(value)
+            before = total[start] - value[start]
+            before[0] -= carried
+            run = total - np.repeat(before, np.diff(np.append(start, n)))
+            _checked(value, run)
+            # the partition's first key may go on from the partition before
+            mine = np.repeat(np.append(first, np.zeros(len(start) - 1, bool)), np.diff(np.append(start, n)))
+            yield pa.RecordBatch.from_arrays(
+                [*b.columns, pa.array(run), pa.array(np.full(n, part, np.int32)), pa.array(np.arange(at, at + n)), pa.array(mine)],
+                [*b.schema.names, "__run", "__part", "__at", "__first"])
+            at += n
+            last = tuple(c[n - 1].as_py() for c in b.columns[:n_keys])
+            carried, first = int(run[-1]), first and len(start) == 1
+
+    return summed
+
+
+def _checked(value: np.ndarray, run: np.ndarray) -> None:
+    """Fail, as ANSI mode does, where a running sum leaves the long range (sums here wrap)."""
+    if ((((run - value) ^ run) & (value ^ run)) < 0).any():
+        raise ArithmeticError("ARITHMETIC_OVERFLOW: a running sum does not fit a long")
+
+
+def ordered_running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str,
+                        partitions: int | None = None) -> DataFrame:
+    """:func:`running_sum` as a prefix scan, for orders that cannot be cut into even blocks.
+
+    1. the rows are range-partitioned by (keys, order) and sorted, so partitions are of
+       like size whatever the order's values are, and a hot key spans several;
+    2. each partition sums its own rows along the keys and is written once;
+    3. only a partition's first key may go on from earlier ones, so what came before it is
+       one number a partition, from the partitions' last keys and sums; it is broadcast.
+
+    Rows that are equal in every column stay in one partition; all others are told apart,
+    also where the whole order is null (nulls come first). No row is dropped; null keys
+    form their own group. ``value`` is a long, a null one adds nothing.
+    """
+    spark = df.sparkSession
+    keys, order = list(keys), list(order)
+    rest = [c for c in df.columns if c not in (*keys, value)]
+    tie = F.xxhash64(*[F.col(c) for c in df.columns])
+    place = [F.col(c).asc_nulls_first() for c in (*keys, *order)] + [tie.asc()]
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    dealt = df.select(*keys, *rest, F.col(value).cast("long").alias(value)).repartitionByRange(n, *place).sortWithinPartitions(*place)
+    schema = T.StructType([*dealt.schema.fields, T.StructField("__run", T.LongType()), T.StructField("__part", T.IntegerType()),
+                           T.StructField("__at", T.LongType()), T.StructField("__first", T.BooleanType())])
+    path = scratch_path(spark, "running-sum")
+    dealt.mapInArrow(_local_sums(len(keys)), schema).write.parquet(path)
+    scanned = spark.read.schema(schema).parquet(path)
+    # one row a partition: its first and last key, and the last key's sum in it
+    key = F.struct(*keys)
+    ends = scanned.groupBy("__part").agg(F.min_by(key, "__at").alias("__head"), F.max_by(key, "__at").alias("__tail"),
+                                         F.max_by("__run", "__at").alias("__sum"))
+    in_order = Window.orderBy("__part")
+    upto = Window.partitionBy("__tail").orderBy("__part").rowsBetween(Window.unboundedPreceding, 0)
+    before = ends.withColumn("__upto", F.sum("__sum").over(upto)).select(
+        "__part", F.when(F.lag("__tail").over(in_order).eqNullSafe(F.col("__head")), F.lag("__upto").over(in_order)).alias("__before"))
+    total = F.col("__run") + F.when(F.col("__first"), F.coalesce("__before", F.lit(0))).otherwise(F.lit(0))
+    # one number a partition: bounded by the number of partitions
+    return scanned.join(F.broadcast(before), "__part").select(*df.columns, total.cast("long").alias(out))
+
+
 def running_stock(
     tx: DataFrame,
     keys: Sequence[str] = ("itemID",),
@@ -98,7 +186,11 @@ def running_stock(
     keep = [c for c in ("id", "storeName") if c in tx.columns]
     keep += [c for c in order if c not in keep]
     d = signed_delta(tx, keep=keep).where(F.col("itemID").isNotNull())  # null SKU: dropped (P3)
-    out = running_sum(d, keys, order, "delta", "currentStock", block_width)
+    if len(order) > 1:
+        # values of a composite order repeat, so blocks of them have no row bound
+        out = ordered_running_sum(d, keys, order, "delta", "currentStock")
+    else:
+        out = running_sum(d, keys, order, "delta", "currentStock", block_width)
     return out.select(*[c for c in keep if c not in keys], *keys, "delta", "currentStock")
 
 

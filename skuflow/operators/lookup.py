@@ -74,15 +74,35 @@ def _place() -> F.Column:
     return part * places + F.coalesce(F.col("offset").cast("decimal(20,0)"), F.lit(-1).cast("decimal(20,0)"))
 
 
+# Bits of the map of winning places, and of one of its words: at most 2**18 rows of two longs.
+_MAP_BITS, _WORD_BITS = 24, 6
+
+
+def _bit() -> F.Column:
+    return F.xxhash64("__place").bitwiseAND(F.lit((1 << _MAP_BITS) - 1))
+
+
 def _first(df: DataFrame, match: F.Column, match_name: str) -> DataFrame:
-    # The least place per value is one number, so the big aggregate hashes and never
-    # sorts payloads; the records are then fetched by value and place. Topics may
-    # share a place, hence the last choice, among the few records fetched.
-    placed = df.where(match.isNotNull()).select(
-        match.alias("__match"), _place().alias("__place"), "topic", "partition", "offset", "key", "value")
+    """The record of the least place for each value of ``match``, payloads of the winners only moved.
+
+    1. the least place per value: one number, so the aggregate hashes and never sees a payload;
+    2. a bit map of the winning places, of bounded size, so it is broadcast at any input size;
+    3. a second scan drops records whose place is not in it and fetches the winners by place.
+       With many values more losers pass the map, which costs time, never results.
+    """
+    # behind a Generate, so that the filter and the column do not evaluate the match twice
+    placed = df.select(F.inline(F.array(F.struct(match.alias("__match"), _place().alias("__place"))))).where(
+        F.col("__match").isNotNull())
     least = placed.groupBy("__match").agg(F.min("__place").alias("__place"))
-    found = placed.join(least, ["__match", "__place"])
-    first = found.groupBy("__match").agg(F.min(F.struct("partition", "offset", "topic", "key", "value")).alias("__r"))
+    words = least.select(_bit().alias("__bit")).groupBy(F.shiftright("__bit", _WORD_BITS).alias("__word")).agg(
+        F.bit_or(F.expr(f"shiftleft(1L, cast(__bit & {(1 << _WORD_BITS) - 1} as int))")).alias("__bits"))
+    records = df.select("topic", "partition", "offset", "key", "value", _place().alias("__place")).withColumn("__bit", _bit())
+    near = records.withColumn("__word", F.shiftright("__bit", _WORD_BITS)).join(F.broadcast(words), "__word").where(
+        F.expr(f"(shiftrightunsigned(__bits, cast(__bit & {(1 << _WORD_BITS) - 1} as int)) & 1L) = 1L"))
+    found = near.join(least, "__place")
+    # topics may share a place, so the value decides again, among the few records fetched
+    record = F.when(match == F.col("__match"), F.struct("partition", "offset", "topic", "key", "value"))
+    first = found.groupBy("__match").agg(F.min(record).alias("__r"))
     return first.select(
         F.col("__match").alias(match_name),
         *[F.col(f"__r.{c}").alias(c) for c in ("topic", "partition", "offset", "key", "value")],

@@ -2,6 +2,8 @@
 
 import random
 
+import pyarrow.parquet as pq
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -158,3 +160,44 @@ def test_compacted_changelog_by_time_interval_and_composite_order(spark):
     got = sorted(tuple(r) for r in out.collect())
     # interval 0: order 0 (+5), 2 (-1), 1 (-2) -> last row is (29999, p1, o0) with 2; interval 1: +4 -> 6
     assert got == [(0, "A", 29_999, 1, 0, 2), (1, "A", 30_000, 0, 2, 6)]
+
+
+def _plain(rows):
+    """Running sums by plain loops: (key, order...) sorted, nulls first."""
+    seen, out = {}, []
+    for k, *order, v, i in sorted(rows, key=lambda r: tuple((x is not None, x or 0) for x in r[:-2])):
+        seen[k] = seen.get(k, 0) + (v or 0)
+        out.append((k, *order, v, i, seen[k]))
+    return out
+
+
+@pytest.mark.parametrize("partitions", [1, 3, 16])
+def test_ordered_running_sum_splits_a_hot_key_of_one_millisecond(spark, partitions):
+    from skuflow.operators.changelog import ordered_running_sum
+
+    rows = [("hot", 5, i, (i * 7) % 11 - 5, i) for i in range(400)] + [(k, i % 3, i, 1, i) for i in range(40) for k in ("a", "z", None)]
+    rows += [("late", i, 0, None if i % 4 == 0 else i, i) for i in range(30)]
+    df = spark.createDataFrame(rows, "k string, ts long, o long, v long, id long").repartition(5)
+    got = ordered_running_sum(df, ["k"], ["ts", "o"], "v", "run", partitions)
+    assert sorted(map(str, _plain(rows))) == sorted(str(tuple(r)) for r in got.collect())
+
+
+def test_ordered_running_sum_of_an_all_null_order_is_split(spark):
+    from skuflow.operators.changelog import ordered_running_sum
+
+    df = spark.range(2000).selectExpr("'k' AS k", "CAST(NULL AS long) AS ts", "CAST(NULL AS long) AS o", "1L AS v", "id")
+    out = ordered_running_sum(df, ["k"], ["ts", "o"], "v", "run", 8)
+    assert sorted(r["run"] for r in out.collect()) == list(range(1, 2001))
+    # the rows lie in files of like size, not in one
+    counts = [pq.ParquetFile(f.removeprefix("file://")).metadata.num_rows for f in out.inputFiles()]
+    assert len(counts) == 8 and max(counts) < 600
+
+
+def test_ordered_running_sum_overflow_fails(spark):
+    from skuflow.operators.changelog import ordered_running_sum
+
+    df = spark.createDataFrame([("k", 1, 1, 2**63 - 1), ("k", 1, 2, 1)], "k string, ts long, o long, v long")
+    with pytest.raises(Exception, match="ARITHMETIC_OVERFLOW"):
+        ordered_running_sum(df, ["k"], ["ts", "o"], "v", "run", 1).collect()
+    none = ordered_running_sum(df.where("false"), ["k"], ["ts", "o"], "v", "run")
+    assert none.count() == 0
