@@ -48,6 +48,27 @@ def _store_stock(src: str) -> str:
     """
 
 
+def _spark_hash(text: str) -> str:
+    """Spark's 32-bit hash (Murmur3, seed 42) of an ASCII text, as an unsigned number: whole words
+    of four bytes first, then the bytes left over one by one."""
+    def mul(x: str, by: int) -> str:
+        return f"(({x}) * {by}::UBIGINT) % 4294967296::UBIGINT"
+
+    def turn(x: str, by: int) -> str:
+        return f"((({x}) << {by}) % 4294967296::UBIGINT | (({x}) >> {32 - by}))"
+
+    byte = f"ord(substr({text}, CAST({{i}} AS BIGINT), 1))::UBIGINT"
+    word = " + ".join(f"{byte.format(i=f'4 * i + {j + 1}')} * {256 ** j}" for j in range(4))
+    parts = (f"list_concat([42::UBIGINT], [{word} FOR i IN range(length({text}) // 4)], "
+             f"[{byte.format(i='i + 1')} FOR i IN range(length({text}) // 4 * 4, length({text}))])")
+    mixed = mul(turn(mul("k", 0xCC9E2D51), 15), 0x1B873593)
+    step = f"({turn(f'xor(h, {mixed})', 13)} * 5 + 3864292196::UBIGINT) % 4294967296::UBIGINT"
+    h = f"xor(list_reduce({parts}, lambda h, k: {step}), length({text})::UBIGINT)"
+    for shift, by in ((16, 0x85EBCA6B), (13, 0xC2B2AE35)):
+        h = mul(f"[xor(x, x >> {shift}) FOR x IN [{h}]][1]", by)
+    return f"[xor(x, x >> 16) FOR x IN [{h}]][1]"
+
+
 def _changelog(src: str) -> str:
     return f"""
         SELECT id, sku AS itemID,
@@ -192,6 +213,22 @@ def _codec_and_streams(q: dict[str, str]) -> None:
         SELECT 'ItemStock' AS storeName, 8 AS numPartitions, count(*) AS numKeys FROM ({_stock(valid)})
     """
     q["item_stock_stream"] = _stock(valid)
+    q["item_stock_table"] = _stock(valid)
+    # three deliveries of equal offset ranges; what the second and third put into the state
+    q["stock_state_changes"] = f"""
+        WITH ends AS (SELECT min(event_id) AS lo, (max(event_id) - min(event_id)) // 3 + 1 AS width FROM events),
+        t AS (SELECT sku AS itemID, least((id - lo) // width, 2) AS batch_id, {DELTA} AS d FROM ({valid}), ends WHERE sku IS NOT NULL),
+        per AS (SELECT itemID, batch_id, sum(d) AS d FROM t GROUP BY ALL)
+        SELECT CAST(batch_id AS BIGINT) AS batch_id, itemID, CAST(stock AS BIGINT) AS currentStock
+        FROM (SELECT *, sum(d) OVER (PARTITION BY itemID ORDER BY batch_id) AS stock FROM per) WHERE batch_id > 0
+    """
+    q["partition_holders"] = f"""
+        WITH placed AS (SELECT sku, 'items-' || (e.user_id % 3) AS part, {_spark_hash("sku")} % 8 AS holder
+                        FROM ({valid}) t JOIN events e ON e.event_id = t.id WHERE sku IS NOT NULL)
+        SELECT CAST(holder AS INTEGER) AS holder, string_agg(DISTINCT part, ',' ORDER BY part) AS partitions,
+               count(DISTINCT sku) AS numKeys
+        FROM placed GROUP BY holder
+    """
     q["item_stock_replay"] = _stock(valid)
     q["store_item_stock_stream"] = _store_stock(valid)
     q["store_item_changelog_stream"] = f"""

@@ -17,12 +17,14 @@ from pyspark.sql import functions as F
 from skuflow.config import scratch_path
 from skuflow.operators.changelog import running_sum
 from skuflow.operators.stock import item_stock
+from skuflow.schema import ITEMS_TOPIC
 from skuflow.sources import messages as ms
 from skuflow.sources import tables as tb
-from skuflow.sources.codec import decode_inventory
+from skuflow.sources.codec import decode_inventory, decode_transactions
 from skuflow.streaming import changes as C
 from skuflow.streaming import pipeline as P
 from skuflow.streaming import state as S
+from skuflow.streaming.sinks import StockTable
 
 
 def deliveries(msgs: DataFrame, parts: int) -> list[DataFrame]:
@@ -152,6 +154,35 @@ def q_stock_point_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.stock_point_lookup(spark, paths.stock_checkpoint, tb.item_requests(spark, sf_dir))
 
 
+def q_item_stock_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Current stock from the compacted table that the stock stream keeps up to date: four
+    deliveries, a new base every two."""
+    paths, src = _source(spark, "item_stock_table")
+    table = StockTable(f"{paths.root}/tables/item_stock", P.ITEM_KEYS, compact_every=2)
+    for seg in deliveries(ms.events_messages(spark, sf_dir, foreign=False), 4):
+        ms.topic_to_files(seg, src, mode="append")
+        P.run_to_end(P.stock_table_query(_stream(spark, src), paths.stock_checkpoint, table))
+    return table.read(spark)
+
+
+# deliveries, and so micro-batches, of the change feed query
+FEED_DELIVERIES = 3
+
+
+def q_stock_state_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each micro-batch but the first changed in the stock state."""
+    paths = run_stock_stream(spark, sf_dir, "stock_state_changes", parts=FEED_DELIVERIES)
+    return S.stock_state_changes(spark, paths.stock_checkpoint, 1).select("batch_id", "itemID", "currentStock")
+
+
+def q_partition_holders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The topic partitions whose records each state partition holds."""
+    paths = run_stock_stream(spark, sf_dir, "partition_holders", state_partitions=METADATA_PARTITIONS)
+    records = decode_transactions(ms.read_topic_files(spark, f"{paths.root}/topic"), "strict", keep=("partition",))
+    held = S.partition_holders(spark, paths.stock_checkpoint, records.withColumnRenamed("sku", "itemID"), ITEMS_TOPIC)
+    return held.select("holder", F.concat_ws(",", "partitions").alias("partitions"), "numKeys")
+
+
 def q_store_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = run_stock_stream(spark, sf_dir, "store_metadata", state_partitions=METADATA_PARTITIONS)
     return S.store_metadata(spark, paths.stock_checkpoint).select("storeName", "numPartitions", "numKeys")
@@ -167,5 +198,8 @@ STREAMS = {
     "seeded_stock_stream": q_seeded_stock_stream,
     "item_stock_replay": q_item_stock_replay,
     "stock_point_lookup": q_stock_point_lookup,
+    "item_stock_table": q_item_stock_table,
+    "stock_state_changes": q_stock_state_changes,
+    "partition_holders": q_partition_holders,
     "store_metadata": q_store_metadata,
 }

@@ -5,7 +5,9 @@ Decode follows the reference's default JSON mapper as far as Spark allows
 ``"5"`` still counts, fractions truncate toward zero, an absent or null
 quantity is 0, and a record is *corrupt* when it is null, not a JSON
 object, has a field the record does not declare (names are
-case-sensitive), or has a number field that is not a number in range.
+case-sensitive), an object or array where a text field is expected, or
+a number field that is not a number in range (or a quoted fraction
+where an integer is expected).
 
 Policies: ``strict`` raises on the first corrupt record (the reference
 stops); ``permissive`` splits corrupt records into a quarantine frame.
@@ -36,6 +38,11 @@ class RecordSpec:
     integral: tuple[tuple[str, int | None, int | None, str], ...]
     floating: tuple[str, ...] = ()
 
+    @property
+    def texts(self) -> tuple[str, ...]:
+        numbers = {name for name, *_ in self.integral} | set(self.floating)
+        return tuple(f for f in self.fields if f not in numbers)
+
     @property
     def parse_schema(self) -> T.StructType:
         return T.StructType(
@@ -79,6 +86,13 @@ def _integral(text: Column, lo: int | None, hi: int | None, target: str) -> tupl
     return F.when(~bad, value.cast(target)), bad
 
 
+def _kind(value: Column, name: str) -> Column:
+    """JSON type of a field, by a VARIANT of the record. It stands behind a test of the field's
+    text, so only records whose text could be of either type are parsed for it."""
+    field = F.try_variant_get(F.try_parse_json(value), f"$.{name}", "variant")
+    return F.schema_of_variant(field)
+
+
 def _parse(envelope: DataFrame, spec: RecordSpec = TRANSACTION_SPEC) -> DataFrame:
     """Envelope + ``__j`` (parsed struct), ``__keys``, ``__reason`` (null when
     valid) and ``__<field>`` typed values of the numeric fields."""
@@ -103,7 +117,13 @@ def _parse(envelope: DataFrame, spec: RecordSpec = TRANSACTION_SPEC) -> DataFram
     for name, lo, hi, target in spec.integral:
         value, bad = _integral(j[name], lo, hi, target)
         reason = reason.when(bad, F.lit(f"bad {name}"))
+        # a quoted number is read as an integer only if it is written as one
+        quoted = ~F.trim(j[name]).rlike(r"^[-+]?[0-9]+$") & (_kind(v, name) == "STRING")
+        reason = reason.when(quoted, F.lit(f"bad {name}"))
         values[name] = value
+    for name in spec.texts:
+        nested = j[name].rlike(r"^[\[{]") & _kind(v, name).rlike("^(OBJECT|ARRAY)")
+        reason = reason.when(nested, F.lit(f"bad {name}"))
     for name in spec.floating:
         value = _num(j[name])
         reason = reason.when(j[name].isNotNull() & value.isNull(), F.lit(f"bad {name}"))

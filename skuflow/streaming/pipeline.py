@@ -28,6 +28,7 @@ from skuflow.operators.changelog import DEFAULT_BLOCK_WIDTH, running_sum
 from skuflow.operators.stock import item_stock, signed_delta, store_item_stock
 from skuflow.sources.codec import decode_transactions, quarantine_transactions
 from skuflow.streaming.sinks import (
+    StockTable,
     batch_dir,
     compact_latest,
     delete_path,
@@ -163,6 +164,14 @@ def item_stock_query(
     return start_stateful(spark, writer, available_now, interval, state_partitions, state_store)
 
 
+def stock_table_query(envelope_stream: DataFrame, checkpoint: str, table: StockTable, available_now: bool = True,
+                      interval: str | None = None, state_partitions: int | None = None, policy: str = "strict"):
+    """The continuous stock per item, kept as a compacted table."""
+    stock = item_stock(decode_transactions(envelope_stream, policy))
+    writer = stock.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(table.write)
+    return start_stateful(envelope_stream.sparkSession, writer, available_now, interval, state_partitions)
+
+
 def start_stateful(spark: SparkSession, writer, available_now: bool = True, interval: str | None = None,
                    state_partitions: int | None = None, state_store: str = "rocksdb"):
     """Start a stateful query with the state settings pinned into its checkpoint."""

@@ -7,9 +7,11 @@ from pyspark.errors import PySparkException
 
 from skuflow.schema import ENVELOPE
 from skuflow.sources.codec import (
+    decode_inventory,
     decode_transactions,
     encode_inventory,
     encode_transactions,
+    quarantine_inventory,
     quarantine_transactions,
 )
 
@@ -176,3 +178,30 @@ def test_large_fractional_id_and_single_quotes_are_corrupt(spark):
     df = spark.createDataFrame(rows, "topic string, partition int, offset long, key string, value string")
     assert decode_transactions(df, "permissive").count() == 0
     assert quarantine_transactions(df).count() == 2
+
+
+@pytest.mark.parametrize("value, reason", [
+    ('{"sku":{"a":1},"quantity":1}', "bad sku"),
+    ('{"sku":"A","storeName":["x"]}', "bad storeName"),
+    ('{"sku":"A","type":{}}', "bad type"),
+    ('{"sku":"A","quantity":"5.7"}', "bad quantity"),
+    ('{"sku":"A","quantity":"5.0"}', "bad quantity"),
+    ('{"sku":"A","quantity":"1e2"}', "bad quantity"),
+    ('{"sku":"A","id":"3.5"}', "bad id"),
+    # a text that looks like an object, bare fractions and quoted integers are as declared
+    ('{"sku":"{\\"a\\":1}","quantity":5.7}', None),
+    ('{"sku":"[x]","quantity":"5"}', None),
+    ('{"sku":"A","quantity":" 5 ","price":"1.5"}', None),
+    ('{"sku":5,"type":true,"quantity":1e2}', None),
+])
+def test_json_types_of_fields(spark, value, reason):
+    msgs = spark.createDataFrame([("items", 0, 0, "k", value)], "topic string, partition int, offset long, key string, value string")
+    assert [r["reason"] for r in quarantine_transactions(msgs).collect()] == ([reason] if reason else [])
+    assert decode_transactions(msgs, "permissive").count() == (0 if reason else 1)
+
+
+def test_inventory_types_of_fields(spark):
+    rows = ['{"itemID":{"x":1},"currentStock":1}', '{"itemID":"a","currentStock":"2.5"}', '{"itemID":"{}","currentStock":3}']
+    msgs = spark.createDataFrame([("t", 0, i, "k", v) for i, v in enumerate(rows)], "topic string, partition int, offset long, key string, value string")
+    assert [r["reason"] for r in quarantine_inventory(msgs).orderBy("offset").collect()] == ["bad itemID", "bad currentStock"]
+    assert [(r["itemID"], r["currentStock"]) for r in decode_inventory(msgs).collect()] == [("{}", 3)]

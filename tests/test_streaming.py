@@ -302,3 +302,66 @@ def test_store_stock_from_state_and_log(spark):
     for source in ("state", "log"):
         got = {tuple(r) for r in P.store_stock_snapshot(spark, paths, source).collect()}
         assert got == {("Store-1", "Item-1", 4), ("Store-2", "Item-1", 2)}
+
+
+def test_stock_table_is_compacted_and_survives_a_crash_before_the_switch(spark, monkeypatch):
+    from skuflow.streaming.sinks import StockTable, path_exists
+
+    paths = P.StreamPaths(scratch_path(spark, "t-table"))
+    src, where = f"{paths.root}/topic", f"{paths.root}/table"
+    table = StockTable(where, P.ITEM_KEYS, compact_every=2)
+
+    def deliver(rows, t=table):
+        _deliver(spark, src, rows)
+        P.run_to_end(P.stock_table_query(read_topic_files(spark, src, streaming=True), paths.stock_checkpoint, t))
+
+    def stock():
+        return {r["itemID"]: r["currentStock"] for r in table.read(spark).collect()}
+
+    deliver(G9[:1])
+    assert stock() == {"Item-1": 6} and table.state(spark) == (None, [0])
+    # the new base is written, but the job dies before readers are switched to it
+    monkeypatch.setattr(StockTable, "switch", lambda self, spark, batch_id: (_ for _ in ()).throw(RuntimeError("lost before the switch")))
+    with pytest.raises(Exception, match="lost before the switch"):
+        deliver([*G9[1:2], _msg(9, "s", "Item-2", "RESTOCK", 4)])
+    monkeypatch.undo()
+    assert path_exists(spark, f"{where}/base=1") and table.state(spark) == (None, [0, 1])
+    assert stock() == {"Item-1": 11, "Item-2": 4}
+    deliver(G9[2:3])  # batch 1 runs again and makes its base; batch 2 follows
+    assert stock() == {"Item-1": 9, "Item-2": 4} and table.state(spark) == (1, [2])
+    deliver(G9[3:])
+    assert stock() == {"Item-1": 6, "Item-2": 4} and table.state(spark) == (3, [])
+    # only the last base is left
+    assert not path_exists(spark, f"{where}/base=1") and not path_exists(spark, f"{where}/batches/batch_id=2")
+    table.write(spark.createDataFrame([("Item-1", -1)], "itemID string, currentStock long"), 2)
+    assert stock() == {"Item-1": 6, "Item-2": 4}
+
+
+def test_state_change_feed_equals_the_compacted_stream(spark):
+    paths = P.StreamPaths(scratch_path(spark, "t-feed"))
+    src = f"{paths.root}/topic"
+    for rows in (G9[:2], [*G9[2:], _msg(9, "s", "Item-2", "RESTOCK", 4)], [_msg(10, "s", "Item-2", "SALE", 1)]):
+        _deliver(spark, src, rows)
+        P.run_to_end(P.item_stock_query(read_topic_files(spark, src, streaming=True), paths))
+    cols = ["batch_id", "itemID", "currentStock"]
+    feed = sorted(tuple(r) for r in S.stock_state_changes(spark, paths.stock_checkpoint, 0).select(*cols).collect())
+    assert feed == [(0, "Item-1", 11), (1, "Item-1", 6), (1, "Item-2", 4), (2, "Item-2", 3)]
+    log = P.read_snapshot_log(spark, paths.stock_log).select(F.col("batch_id").cast("long"), "itemID", "currentStock")
+    assert sorted(tuple(r) for r in log.collect()) == feed
+    between = S.stock_state_changes(spark, paths.stock_checkpoint, 1, 1).select(*cols).collect()
+    assert sorted(tuple(r) for r in between) == feed[1:3]
+
+
+def test_partition_holders_follow_the_state(spark):
+    paths = P.StreamPaths(scratch_path(spark, "t-holders"))
+    src = f"{paths.root}/topic"
+    rows = [("items", i % 3, i, "s", json.dumps({"id": i, "sku": f"Item-{i % 40}", "quantity": 1})) for i in range(200)]
+    _deliver(spark, src, rows)
+    P.run_to_end(P.item_stock_query(read_topic_files(spark, src, streaming=True), paths, state_partitions=5))
+    state = S.read_stock_state(spark, paths.stock_checkpoint)
+    assert state.where(S.state_partition(5, "itemID") != F.col("partition_id")).count() == 0
+    records = spark.createDataFrame([(f"Item-{i % 40}", i % 3) for i in range(200)], "itemID string, partition int")
+    got = {r["holder"]: (r["partitions"], r["numKeys"]) for r in S.partition_holders(spark, paths.stock_checkpoint, records, "items").collect()}
+    assert sum(n for _, n in got.values()) == 40 and all(p == sorted(p) and set(p) <= {"items-0", "items-1", "items-2"} for p, _ in got.values())
+    with pytest.raises(Exception, match="placement differs"):
+        S.partition_holders(spark, paths.stock_checkpoint, records.where("itemID != 'Item-3'"), "items").collect()
