@@ -19,11 +19,9 @@ Corpus-wide pair counts, without moving a text or a document's pairs by key:
 from __future__ import annotations
 
 import hashlib
-import os
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
-from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -64,9 +62,7 @@ class Pair:
     """Both tokenizers, ready in a worker."""
 
     def __init__(self, spec: str, whole: frozenset[str], proto: bytes):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self.a, self.b = bytebpe.ByteBPE(spec, whole), PieceModel(proto)
-        self.a.library.encode_special_tokens = True
         size = max(self.a.vocab.values()) + 1
         a_bytes = [b""] * size
         for entry, i in self.a.vocab.items():
@@ -78,7 +74,8 @@ class Pair:
         self.a_len = np.array(list(map(len, a_bytes)), np.int64)
         self.b_len = np.array(list(map(len, self.b_bytes)), np.int64)
         self.width = max(size, len(self.b_bytes))
-        self.words: dict[str, tuple[list[int], list[int]] | str] = {}
+        self.words: dict[str, int] = {}
+        self.a_words, self.b_words = _Lists(), _Lists()
         if size * len(self.b_bytes) >= 1 << B_BITS:
             raise ValueError("the vocabularies' pairs do not fit their number")
 
@@ -91,21 +88,23 @@ class Pair:
         a, b = self.a.ids(" " + text), self.b.ids(text)
         return (a, b) if self.given_back(a.tolist(), b.tolist(), b" " + raw) else None
 
-    def learn(self, words: list[str]) -> dict:
-        """Both encodings of space+word; UNSURE where the space is not one right before a word,
-        LOST where the bytes are not given back."""
-        full = [" " + w for w in words]
-        # sentencepiece starts threads for a list, which a few words are not worth
-        of_b = self.b.library.encode(words, num_threads=1) if len(words) > 32 else map(self.b.library.encode, words)
-        of_a = self.a.library.encode_batch_fast(full, add_special_tokens=False)
-        out: dict = {}
-        for word, text, ea, b in zip(words, full, of_a, of_b, strict=True):
-            a = ea.ids
-            if not word or word[0].isspace() or "\x1c" <= word[0] <= "\x1f":
-                out[word] = UNSURE
-            else:
-                out[word] = (a, b) if self.given_back(a, b, text.encode("utf-8")) else LOST
-        return out
+    def learn(self, words: list[str]) -> None:
+        """Remember both encodings of space+word for all ``words``.
+
+        A word that does not start right after its space is unsure: it depends on its text.
+        """
+        sure = [w for w in words if w and not (w[0].isspace() or "\x1c" <= w[0] <= "\x1f" or not w.isascii() and bytebpe.unnamed(w))]
+        self.words |= dict.fromkeys(words, UNSURE)
+        self.words |= zip(sure, range(self.a_words.n, self.a_words.n + len(sure)))
+        if not sure:
+            return
+        pieces = self.a.split(" " + " ".join(sure))
+        ids = np.fromiter(chain.from_iterable(map(self.a.lists.__getitem__, pieces)), np.int32)
+        sizes = np.fromiter((len(w.encode("utf-8")) + 1 for w in sure), np.int64, len(sure))
+        ends = np.searchsorted(np.cumsum(self.a_len[ids]), np.cumsum(sizes)) + 1
+        self.a_words.add(ids, np.diff(ends, prepend=0))
+        lists = self.b.library.encode(sure, num_threads=1)
+        self.b_words.add(np.fromiter(chain.from_iterable(lists), np.int32), np.fromiter(map(len, lists), np.int64, len(sure)))
 
     def encoded(self, raws: list[bytes | None]) -> list[tuple[np.ndarray, np.ndarray] | None]:
         """Ids of both for every text, None where there are no tokens.
@@ -117,29 +116,44 @@ class Pair:
         if not self.b.sliced:
             return [t and self.both(t, r) or None for t, r in zip(texts, raws, strict=True)]
         split = [t.split(" ") if t else [] for t in texts]
-        known = self.words
-        new = list({w for words in split for w in words} - known.keys())
-        if len(known) + len(new) > bytebpe.REMEMBER:
-            known.clear()
-            new = list({w for words in split for w in words})
-        known |= self.learn(new)
+        new = {w for words in split for w in words} - self.words.keys()
+        if len(self.words) + len(new) > WORDS:
+            self.words.clear()
+            self.a_words, self.b_words = _Lists(), _Lists()
+            new = {w for words in split for w in words}
+        self.learn(list(new))
         out: list = []
         for text, raw, words in zip(texts, raws, split, strict=True):
-            found = list(map(known.__getitem__, words))
-            if not found or LOST in found and UNSURE not in found:
+            at = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
+            if not len(at):
                 out.append(None)
-            elif UNSURE in found:
+            elif at.min() == UNSURE:
                 out.append(self.both(text, raw))
             else:
-                out.append((np.fromiter(chain.from_iterable(map(itemgetter(0), found)), np.int32),
-                            np.fromiter(chain.from_iterable(map(itemgetter(1), found)), np.int32)))
-        for w in new:
-            if len(w) > bytebpe.LONG:
-                del known[w]
+                a, b = self.a_words.of(at), self.b_words.of(at)
+                out.append((a, b) if self.given_back(a.tolist(), b.tolist(), b" " + raw) else None)
         return out
 
 
-UNSURE, LOST = "unsure", "lost"
+class _Lists:
+    """Lists of ids behind one another."""
+
+    def __init__(self) -> None:
+        self.ids, self.starts, self.n = np.zeros(0, np.int32), np.zeros(1, np.int64), 0
+
+    def add(self, ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
+        self.ids = np.concatenate([self.ids, ids])
+        self.n += len(sizes)
+
+    def of(self, lists: np.ndarray) -> np.ndarray:
+        start = self.starts[lists]
+        n = self.starts[lists + 1] - start
+        return self.ids[_spread(n) + np.repeat(start, n)]
+
+
+UNSURE = -1
+WORDS = 1 << 19           # words that a worker remembers
 
 
 @lru_cache(maxsize=1)
@@ -179,11 +193,15 @@ def groups(ea: np.ndarray, eb: np.ndarray, lo_a: np.ndarray, hi_a: np.ndarray, l
         done = ~cut & (first == lo_a) & (first + n == hi_a - 1)
         if done.any():
             leaves.append((lo_a[done], hi_a[done], lo_b[done], hi_b[done]))
-        on = ~cut & ~done
-        none = np.zeros(len(a_cut), np.int64)
-        lo_a, hi_a, lo_b, hi_b, reach = (np.concatenate(x) for x in (
-            (lo_a[cut], a_cut, lo_a[on]), (a_cut, hi_a[cut], hi_a[on]),
-            (lo_b[cut], b_cut, lo_b[on]), (b_cut, hi_b[cut], hi_b[on]), (none, none, 2 * reach[on] + 1)))
+        # both halves of a cut interval, the others as they are, all still in order of the text
+        go = ~done
+        n = np.where(cut[go], 2, 1)
+        parent = np.repeat(np.flatnonzero(go), n)
+        right = (np.cumsum(n) - 1)[cut[go]]
+        lo_a, hi_a, lo_b, hi_b, reach = lo_a[parent], hi_a[parent], lo_b[parent], hi_b[parent], 2 * reach[parent] + 1
+        hi_a[right - 1] = lo_a[right] = a_cut
+        hi_b[right - 1] = lo_b[right] = b_cut
+        reach[right - 1] = reach[right] = 0
     if not leaves:
         none = np.zeros(0, np.int64)
         return none, none, none, none
