@@ -90,5 +90,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in ops}
 
 
+# The archives give back what was written, so the records follow from the pages alone.
+WARC_SQL = f"""
+    WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+    sized AS (SELECT page_id, octet_length(encode(html))::BIGINT AS bytes, sha1(html) AS digest FROM p),
+    kept AS (SELECT *, CASE WHEN bytes >= {warc.LEAST_REVISIT} THEN max(page_id) OVER (PARTITION BY digest) ELSE page_id END AS first FROM sized)
+    SELECT page_id, bytes AS payload_bytes, digest AS payload_digest,
+           CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN first = page_id THEN NULL ELSE first END AS refers_to, true AS intact
+    FROM kept
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_warc_round_trip": WARC_SQL}
