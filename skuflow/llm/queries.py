@@ -20,7 +20,9 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents"))
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    first = ["doc_id", "size", "source_size", "target", "taken"]
+    return mixed.select(*first, *[c for c in mixed.columns if c not in first])
 
 
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
