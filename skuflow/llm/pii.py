@@ -296,6 +296,8 @@ def pii_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", th
     A candidate that failed a base condition is never accepted under its base kind.
     Null and empty texts have no span; repeated rows are each returned; extra columns
     are ignored; without any candidate the model is empty and nothing is added.
+    Very long texts take time in proportion to their length. Spans that start together are
+    listed in the order of their kinds; an empty table gives no row.
     """
     found = candidates(docs, id_col, text_col)
     bias, odds, _ = span_model(found)
