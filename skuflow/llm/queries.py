@@ -104,5 +104,40 @@ WARC_SQL = f"""
 """
 
 
+# Words, windows and lines by unnesting; the hosts' prior and verdict in closed form.
+RULES_SQL = rf"""
+    WITH m AS (
+        SELECT row_number() OVER () AS r, doc_id, source, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+               string_split(coalesce(text, ''), chr(10)) AS lines, len(regexp_extract_all(coalesce(text, ''), '[#*$%&|<>]')) AS n_symbols
+        FROM documents),
+    words AS (SELECT r, unnest(w) AS x, generate_subscripts(w, 1) AS i FROM m),
+    grams AS (SELECT r, i, x, lead(x) OVER p AS y, lead(x, 2) OVER p AS z FROM words WINDOW p AS (PARTITION BY r ORDER BY i)),
+    twice AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, x, y, z) AS c FROM grams WHERE z IS NOT NULL) WHERE c > 1),
+    rep AS (SELECT r, count(DISTINCT i + k) AS n FROM twice, (SELECT unnest([0, 1, 2]) AS k) GROUP BY r),
+    chars AS (SELECT r, sum(length(x)) AS n FROM words GROUP BY r),
+    dups AS (SELECT r, count(*) - count(DISTINCT line) AS n FROM (SELECT r, unnest(lines) AS line FROM m)
+             WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY r),
+    measured AS (
+        SELECT m.doc_id, m.source, len(w)::BIGINT AS n_words, coalesce(chars.n, 0)::BIGINT AS word_chars, m.n_symbols::BIGINT AS n_symbols,
+               coalesce(dups.n, 0)::BIGINT AS n_dup_lines, coalesce(rep.n, 0)::BIGINT AS n_repeat_words, len(lines) AS n_lines
+        FROM m LEFT JOIN chars USING (r) LEFT JOIN dups USING (r) LEFT JOIN rep USING (r)),
+    flagged AS (
+        SELECT *, ({rules.BASE_RULE}) AS base_failed, ({" + ".join(f"({x})::INT" for x in rules.RULES.values())})::BIGINT AS n_rules FROM measured),
+    hosts AS (SELECT source, count(*) AS n_docs, count(*) FILTER (WHERE base_failed OR n_rules > 0) AS n_failed FROM flagged GROUP BY source),
+    corpus AS (SELECT *, f / n AS m FROM (SELECT count(*) AS k, sum(n_docs) AS n, sum(n_failed) AS f, sum(n_failed::DOUBLE * n_failed / n_docs) AS s,
+               sum(n_docs::DOUBLE * n_docs) AS q FROM hosts)),
+    spread AS (SELECT *, CASE WHEN m > 0 AND m < 1 AND n - q / n - (k - 1) > 1e-6
+               THEN ((s - f * m) / (m * (1 - m)) - (k - 1)) / (n - q / n - (k - 1)) ELSE 0 END AS rho FROM corpus),
+    prior AS (SELECT *, CASE WHEN rho > 0 THEN least({rules.MOST_STRENGTH}, greatest(1.0, 1 / rho - 1)) ELSE {rules.MOST_STRENGTH} END AS strength FROM spread),
+    shrunk AS (SELECT hosts.*, strength, n, f, round((n_failed + m * strength) / (n_docs + strength), 6) AS host_rate FROM hosts, prior),
+    sure AS (SELECT *, host_rate - 2 * sqrt(host_rate * (1 - host_rate) / (n_docs + strength + 1)) AS low FROM shrunk),
+    verdict AS (SELECT *, n_docs < n AND low >= 0.25 AND low >= 2 * (f - n_failed) / nullif(n - n_docs, 0) AS bad FROM sure)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+           NOT base_failed AND n_rules < 2 AND NOT (n_rules > 0 AND coalesce(bad, false)) AS kept,
+           n_rules, n_docs AS host_docs, host_rate, coalesce(bad, false) AS bad_host
+    FROM flagged JOIN verdict ON flagged.source IS NOT DISTINCT FROM verdict.source
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op8_warc_round_trip": WARC_SQL}
+    return {"op5_quality_rules": RULES_SQL, "op8_warc_round_trip": WARC_SQL}
