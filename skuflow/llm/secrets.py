@@ -33,7 +33,8 @@ LEAST_VALUE = 8
 
 # The method's own candidates.
 MORE = {
-    "jwt": re.compile(r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
+    # from the first mark of a run of its characters: where that one fails, the run's later ones do too
+    "jwt": re.compile(r"(?<![A-Za-z0-9_-])(?:(?!eyJ)[A-Za-z0-9_-])*+(eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+)"),
     # up to its end marker; without one, the header lines and the base64 lines that follow
     "pem": re.compile(r"-----BEGIN [A-Z ]{0,24}PRIVATE KEY-----"
                       r"(?:[^-]*+(?:-(?!----)[^-]*+)*+-----END [A-Z ]{0,24}PRIVATE KEY-----"
@@ -85,16 +86,16 @@ def more_spans(text: str, taken: list[tuple[str, int, int, str]]) -> list[tuple[
         if kind == "pem" and "-----BEGIN" not in text or kind == "jwt" and "eyJ" not in text:
             continue
         for m in pattern.finditer(text):
-            v = m.group()
+            v, start = (m.group(1), m.start(1)) if kind == "jwt" else (m.group(), m.start())
             if kind == "opaque" and not (_OPAQUE_HINT.search(v) and looks_random(v) and re.search("[A-Za-z]", v)):
                 continue
             if cover is None:
                 cover = bytearray(len(text))
                 for _, a, z, _ in taken:
                     cover[a:z] = b"\1" * (z - a)
-            if kind == "pem" or not any(cover[m.start():m.end()]):
-                cover[m.start():m.end()] = b"\1" * len(v)
-                out.append((kind, m.start(), m.end(), v))
+            if kind == "pem" or not any(cover[start:m.end()]):
+                cover[start:m.end()] = b"\1" * len(v)
+                out.append((kind, start, m.end(), v))
     return out
 
 
