@@ -155,8 +155,9 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.array_max(F.concat(*places)).cast("long").alias("last_word"),
         F.array_compact(F.array(*[F.when(F.size(p) > 0, F.lit(label)) for p, label in zip(places, PHRASES.values())]))
         .alias("base"))
+    # equal rows have one key: each of their blocks counts once
     method = (license_blocks(docs, id_col, text_col, templates, threshold, keys=True)
-              .groupBy("_k1", "_k2").agg(F.collect_set("label").alias("more"), F.max("score").alias("top"),
+              .dropDuplicates(["_k1", "_k2", "block", "template"]).groupBy("_k1", "_k2").agg(F.collect_set("label").alias("more"), F.max("score").alias("top"),
                                          F.count(F.lit(1)).alias("n_blocks")))
     labels = F.array_sort(F.array_distinct(F.concat("base", F.coalesce("more", F.array().cast("array<string>")))))
     return base.join(method, ["_k1", "_k2"], "left").select(
