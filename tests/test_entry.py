@@ -37,7 +37,7 @@ def test_anchor_values_sf0001(spark):
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))
 def test_query_matches_oracle_sf0001(spark, name):
     con = duckdb.connect()
-    for t in ("events", "lineitem", "part", "customer", "pages"):
+    for t in ("events", "lineitem", "part", "customer", "pages", "documents"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     want = con.execute(E.oracle_sql()[name]).df()
     got = E.queries()[name](spark, SF).toPandas()
