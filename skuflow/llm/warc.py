@@ -2,8 +2,9 @@
 
 Archives are written by Spark's text writer: a record's value is its header and
 payload, and the line separator is the blank line that ends a record. Reading
-splits the archives at the record magic in any number of tasks; every place where
-the magic stands is only a candidate, with the offset of its successor computed
+takes the archives as bytes (of any encoding, WARC/1.0 or 1.1) and splits them at the
+record magic in any number of tasks; every place where the magic stands is only
+a candidate, with the offset of its successor computed
 from its own length. Pointer jumping from the start of each file keeps the
 candidates that the chain reaches, so magic inside a payload never makes a record.
 """
@@ -22,6 +23,7 @@ from skuflow.config import scratch_path
 from skuflow.llm.common import written
 
 MAGIC = "WARC/1.1\r\n"
+SPLIT = "WARC/1."        # what all versions read begin with
 END = "\r\n\r\n"
 RECORDS_PER_ARCHIVE = 1000
 LEAST_REVISIT = 1000
@@ -34,10 +36,11 @@ def plan_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
 
     Of equal payloads of ``least`` bytes or more the largest page id is the response
     (rows equal in it too), the others revisit it. A null payload is empty; a page
-    without id revisits if any equal one has an id, else it is a response.
+    without id revisits if any equal one has an id, else it is a response. A binary
+    payload keeps its bytes, also those that are no UTF-8.
     """
     p = pages.select(F.col(id_col).alias("page"), F.col(url_col).cast("string").alias("url"),
-                     F.coalesce(F.col(html_col), F.lit("")).alias("html"))
+                     F.coalesce(F.col(html_col).cast("string"), F.lit("")).alias("html"))
     p = p.withColumn("bytes", F.octet_length("html").cast("long")).withColumn("digest", F.sha1(F.col("html").cast("binary")))
     # only digests that stand more than once go into the join; sums come before the shuffle
     first = written(p.where(F.col("bytes") >= least).groupBy("digest").agg(
@@ -73,15 +76,16 @@ def write_archives(records: DataFrame, path: str, per_archive: int = RECORDS_PER
      .option("maxRecordsPerFile", per_archive).text(path))
 
 
-_FIELD = re.compile(rb"([A-Za-z-]+): ([^\r\n]*)\r\n")
+_VERSION = re.compile(rb"[0-9]\r\n")
+_FIELD = re.compile(rb"([A-Za-z0-9_-]+):[ \t]*([^\r\n]*)\r\n")
 
 
 def parse_header(piece: bytes) -> tuple[dict[str, str], int] | None:
-    """Fields and length of a header that starts a piece (after its magic); None if it is none."""
-    end = piece.find(b"\r\n\r\n")
-    if end < 0:
+    """Fields and length of a header that starts a piece (from its minor version); None if it is none."""
+    version, end = _VERSION.match(piece), piece.find(b"\r\n\r\n")
+    if not version or end < 0:
         return None
-    fields, at = {}, 0
+    fields, at = {}, version.end()
     while at < end + 2:
         m = _FIELD.match(piece, at)
         if not m:
@@ -106,7 +110,7 @@ def _emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for value, file, block in zip(b.column("value"), b.column("file").to_pylist(), b.column("block").to_pylist()):
             if (file, block) != here:
                 here, at = (file, block), 0
-            raw = value.as_py().encode("utf-8")
+            raw = value.as_py()
             head = parse_header(raw)
             if head is None:
                 rows.append((file, block, at, None, None, None, None, None, None, len(raw), None, None))
@@ -115,17 +119,17 @@ def _emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 n = int(f["content-length"])
                 whole = len(raw) == size + n + len(END)
                 length = f.get("warc-payload-length", "")
-                rows.append((file, block, at, at + size + n + len(END) + len(MAGIC), f.get("warc-type"), f.get("warc-record-id"),
+                rows.append((file, block, at, at + size + n + len(END) + len(SPLIT), f.get("warc-type"), f.get("warc-record-id"),
                              f.get("warc-refers-to"), f.get("warc-payload-digest"), int(length) if length.isdigit() else None,
                              len(raw), hashlib.sha1(raw[size:size + n]).hexdigest() if whole else None, n if whole else None))
-            at += len(raw) + len(MAGIC)
+            at += len(raw) + len(SPLIT)
         yield pa.RecordBatch.from_pylist([dict(zip(_PIECE, r)) for r in rows], _PIECE_ARROW)
 
 
 def _pieces(spark: SparkSession, path: str) -> DataFrame:
-    """The archives' text between magics, in file order within a block."""
-    return spark.read.option("lineSep", MAGIC).text(path).select(
-        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+    """The archives' bytes between magics, in file order within a block."""
+    return spark.read.option("lineSep", SPLIT).text(path).select(
+        F.col("value").cast("binary").alias("value"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
 
 
 def _raw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,7 +140,7 @@ def _raw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if (file, block) != here:
                 here, at = (file, block), 0
             place.append(at)
-            at += len(value.as_py().encode("utf-8")) + len(MAGIC)
+            at += len(value.as_py()) + len(SPLIT)
         yield pa.RecordBatch.from_arrays([b.column("file"), b.column("block"), pa.array(place, pa.int64()), b.column("value")],
                                          ["file", "block", "at", "value"])
 
@@ -164,7 +168,7 @@ def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         out, read = [], []
         for parts in b.column("parts").to_pylist():
-            raw = MAGIC.join(p["value"] for p in sorted(parts, key=lambda p: p["at"])).encode("utf-8")
+            raw = SPLIT.encode().join(p["value"] for p in sorted(parts, key=lambda p: p["at"]))
             fields, size = parse_header(raw)
             n = int(fields["content-length"])
             out.append(hashlib.sha1(raw[size:size + n]).hexdigest() if len(raw) == size + n + len(END) else None)
@@ -173,21 +177,27 @@ def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          ["file", "own", "joined", "joined_read"])
 
 
-def read_archives(spark: SparkSession, path: str) -> DataFrame:
+def read_archives(spark: SparkSession, path: str, strict: bool = False) -> DataFrame:
     """Verified records: page (text), type, refers (text), declared and recomputed digest, bytes.
 
     ``sha1`` is the digest of the stored payload as read (null for a record that the file
-    cuts off), ``bytes`` its length as read; for a revisit, the length its header gives. A file that does not begin with a record gives none.
+    cuts off), ``bytes`` its length as read; for a revisit, the length its header gives. A file that does not begin with a record gives
+    none; with ``strict`` it is an error.
     """
     rel = written(_pieces(spark, path).mapInArrow(_emit, _PIECE_DDL), "warc-pieces")
     # a block starts where all earlier blocks of its file end: every byte is in one piece or one magic
-    blocks = rel.groupBy("file", "block").agg(F.sum(F.col("size") + len(MAGIC)).alias("span"))
+    blocks = rel.groupBy("file", "block").agg(F.sum(F.col("size") + len(SPLIT)).alias("span"))
     base = written(blocks.withColumn("base", F.coalesce(F.sum("span").over(
         Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
         .select("file", "block", "base"), "warc-blocks")
-    shift = F.col("base") - len(MAGIC)
+    shift = F.col("base") - len(SPLIT)
     cand = written(rel.join(base, ["file", "block"]).withColumn("at", F.col("at") + shift)
                    .withColumn("next", F.col("next") + shift).where("at >= 0").drop("base", "block"), "warc-candidates")
+    if strict:
+        begun = cand.where("at = 0 and next is not null").select("file").distinct()
+        other = base.select("file").distinct().join(begun, "file", "left_anti").first()
+        if other:
+            raise ValueError(f"{other['file']} does not begin with a WARC/1.x record")
     real = written(reachable(cand).withColumn("real", F.lit(True)), "warc-real")
     records = cand.join(real.select("file", "at"), ["file", "at"], "left_semi")
     # payloads that hold the magic: their pieces up to the next real record, joined again
@@ -197,7 +207,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
         Window.partitionBy("file").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)))
         .where("own is not null").select("file", "at", "own"), "warc-owned")
     need = owned.join(records.where("sha1 is null").select("file", F.col("at").alias("own")), ["file", "own"], "left_semi")
-    raw = _pieces(spark, path).mapInArrow(_raw, "file string, block long, at long, value string").join(base, ["file", "block"])
+    raw = _pieces(spark, path).mapInArrow(_raw, "file string, block long, at long, value binary").join(base, ["file", "block"])
     parts = (raw.withColumn("at", F.col("at") + shift).join(need, ["file", "at"])
              .groupBy("file", "own").agg(F.collect_list(F.struct("at", "value")).alias("parts")))
     joined = parts.mapInArrow(_assemble, "file string, own long, joined string, joined_read long").withColumnRenamed("own", "at")
@@ -212,19 +222,27 @@ def round_trip(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
                least: int = LEAST_REVISIT, per_archive: int = RECORDS_PER_ARCHIVE, compression: str = "gzip") -> DataFrame:
     """Write a record per page, read the archives back, one row a page.
 
-    Columns: the id, payload_bytes, payload_digest, record_type, refers_to, intact (the
-    payload read equals the digest written; true for revisits, which store none). Null
-    html is empty, null ids come back null, repeated rows each have their record; an
-    empty table gives no rows.
+    Columns: the id, payload_bytes, payload_digest, record_type, refers_to, intact. Length and
+    digest are those of payloads read back: a revisit takes them from the response that it
+    refers to, found by id and digest. ``intact`` tells that they equal what the record's
+    own header says (false, with the header's values, where no such response was read). Null
+    html is empty, null ids come back null, repeated rows and ties each have their record; a very long
+    payload is one record; extra columns are ignored; an empty table gives no rows.
     """
     spark = pages.sparkSession
     kind = dict(pages.select(F.col(id_col).alias("i")).dtypes)["i"]
     path = scratch_path(spark, "llm-warc")
     write_archives(plan_records(pages, id_col, url_col, html_col, least), path, per_archive, compression)
-    back = read_archives(spark, path)
+    back = written(read_archives(spark, path, strict=True), "warc-back")
+    # the responses that revisits refer to, one row each: few beside the revisits, which may all refer to one
+    asked = back.where("type = 'revisit'").select(F.col("refers").alias("target"), F.col("declared").alias("sha")).distinct()
+    full = written(back.where("type = 'response'").select(F.col("page").alias("target"), F.col("sha1").alias("sha"), F.col("bytes").alias("length"))
+                   .join(asked, ["target", "sha"], "left_semi").dropDuplicates(["target", "sha"]), "warc-responses")
     revisit = F.col("type") == "revisit"
-    return back.select(
-        F.when(F.col("page") != "-", F.col("page")).cast(kind).alias(id_col), F.col("bytes").alias("payload_bytes"),
-        F.when(revisit, F.col("declared")).otherwise(F.col("sha1")).alias("payload_digest"), F.col("type").alias("record_type"),
+    both = back.join(full, (F.col("refers") == F.col("target")) & (F.col("declared") == F.col("sha")) & revisit, "left")
+    return both.select(
+        F.when(F.col("page") != "-", F.col("page")).cast(kind).alias(id_col),
+        F.when(revisit, F.coalesce("length", "bytes")).otherwise(F.col("bytes")).alias("payload_bytes"),
+        F.when(revisit, F.coalesce("sha", "declared")).otherwise(F.col("sha1")).alias("payload_digest"), F.col("type").alias("record_type"),
         F.when(revisit, F.col("refers")).cast(kind).alias("refers_to"),
-        F.when(revisit, F.lit(True)).otherwise(F.coalesce(F.col("sha1") == F.col("declared"), F.lit(False))).alias("intact"))
+        F.coalesce(F.when(revisit, F.col("length") == F.col("bytes")).otherwise(F.col("sha1") == F.col("declared")), F.lit(False)).alias("intact"))

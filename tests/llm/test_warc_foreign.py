@@ -1,0 +1,63 @@
+"""Archives of other writers: WARC/1.0, payloads of any bytes, files that are none."""
+
+import hashlib
+import os
+
+import pytest
+from helpers import empty, odd
+
+from skuflow.config import scratch_path
+from skuflow.llm import warc
+
+
+def record(version, i, payload, kind="response"):
+    head = (f"WARC/{version}\r\nWARC-Type:{kind}\r\nWARC-Record-ID: <urn:page:{i}>\r\nX-Number1: a\r\n"
+            f"Content-Length: {len(payload)}\r\n\r\n")
+    return head.encode() + payload + b"\r\n\r\n"
+
+
+def put(path, name, data):
+    local = path.removeprefix("file:")
+    os.makedirs(local, exist_ok=True)
+    with open(f"{local}/{name}", "wb") as f:
+        f.write(data)
+
+
+def test_any_version_and_any_bytes(spark):
+    path = scratch_path(spark, "warc-foreign")
+    fake = record("1.0", 66, b"inner")
+    payloads = [b"plain", bytes(range(256)) * 20, b"\xff\xfe\x80", b"x" + fake + b"y\xc3", b"", b"WARC/1.", b"WARC/1.0\r\n"]
+    put(path, "a.warc", b"".join(record("1.0" if i % 2 else "1.1", i, p) for i, p in enumerate(payloads)))
+    put(path, "b.warc", b"".join(record("1.0", 100 + i, p) for i, p in enumerate(payloads)))
+    was = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        got = {r["page"]: (r["bytes"], r["sha1"]) for r in warc.read_archives(spark, path, strict=True).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", was)
+    assert got == {str(b + i): (len(p), hashlib.sha1(p).hexdigest()) for b in (0, 100) for i, p in enumerate(payloads)}
+
+
+def test_a_file_that_is_no_archive_is_an_error(spark):
+    path = scratch_path(spark, "warc-none")
+    put(path, "a.warc", record("1.0", 1, b"good"))
+    put(path, "b.warc", b"junk" + record("1.0", 2, b"lost"))
+    assert [r["page"] for r in warc.read_archives(spark, path).collect()] == ["1"]
+    with pytest.raises(ValueError, match="b.warc"):
+        warc.read_archives(spark, path, strict=True)
+
+
+def test_binary_pages_round_trip(spark):
+    rows = [(1, "u", b"\xff\x00\x80" * 600), (2, "u", b"\xff\x00\x80" * 600), (3, "u", None), (4, "u", b"\xc3WARC/1.0\r\n"), (2, "u", b"other \xff" * 300),
+            (1, "u", b"other \xff" * 300)]
+    got = warc.round_trip(spark.createDataFrame(rows, "page_id long, url string, html binary")).collect()
+    want = sorted((i, len(h or b""), hashlib.sha1(h or b"").hexdigest(), i == 1) for i, _, h in rows)
+    assert sorted((r["page_id"], r["payload_bytes"], r["payload_digest"], r["record_type"] == "revisit") for r in got) == want
+    assert all(r["intact"] for r in got) and all((r["refers_to"] == 2) == (r["page_id"] == 1) for r in got)
+
+
+def test_odd_and_empty_tables(spark):
+    names = {"id_col": "doc_id", "url_col": "source", "html_col": "text"}
+    got = warc.round_trip(odd(spark), **names).collect()
+    assert len(got) == odd(spark).count() and all(r["intact"] for r in got)
+    assert warc.round_trip(empty(spark), **names).collect() == []
