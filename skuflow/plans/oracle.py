@@ -245,6 +245,7 @@ def _codec_and_streams(q: dict[str, str]) -> None:
         ) GROUP BY itemID
     """
     q["item_changelog_stream"] = _changelog(valid)
+    q["rescaled_changelog_stream"] = _changelog(valid)
     q["item_changelog_published"] = f"""
         SELECT id, itemID, currentStock, row_number() OVER (PARTITION BY itemID ORDER BY id) AS change_no
         FROM ({_changelog(valid)})

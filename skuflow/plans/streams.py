@@ -142,6 +142,26 @@ def q_seeded_changelog_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.read_changes(spark, paths.changelog)
 
 
+# state partitions before and after the move of q_rescaled_changelog_stream
+RESCALED = (4, 10)
+
+
+def q_rescaled_changelog_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every change, the number of state partitions changed between two deliveries: the second query
+    starts from the first one's state on a checkpoint of its own, behind the first one's offsets."""
+    paths, src = _source(spark, "rescaled_changelog_stream")
+    first, later = deliveries(ms.events_messages(spark, sf_dir, foreign=False), 2)
+    ms.topic_to_files(first, src, mode="append")
+    P.run_to_end(C.changes_query(_stream(spark, src), paths.changelog_checkpoint, table=paths.changelog, state_partitions=RESCALED[0]))
+    moved = P.StreamPaths(f"{paths.root}/rescaled")
+    opening, positions = C.move_state(spark, paths.changelog_checkpoint, paths.changelog, f"{moved.root}/from")
+    ms.topic_to_files(later, src, mode="append")
+    P.run_to_end(C.changes_query(C.after(_stream(spark, src), positions), moved.changelog_checkpoint, table=moved.changelog,
+                                 opening=opening, state_partitions=RESCALED[1]))
+    before = C.committed_changes(spark, paths.changelog_checkpoint, paths.changelog).select("id", "itemID", "currentStock")
+    return before.unionByName(C.read_changes(spark, moved.changelog))
+
+
 def written_opening(spark: SparkSession, sf_dir: str, paths: P.StreamPaths) -> DataFrame:
     """The stock booked from order lines, one row an item, as a table."""
     path = f"{paths.root}/opening"
@@ -193,6 +213,7 @@ STREAMS = {
     "item_changelog_stream": q_item_changelog_stream,
     "item_changelog_published": q_item_changelog_published,
     "seeded_changelog_stream": q_seeded_changelog_stream,
+    "rescaled_changelog_stream": q_rescaled_changelog_stream,
     "store_item_stock_stream": q_store_item_stock_stream,
     "store_item_changelog_stream": q_store_item_changelog_stream,
     "seeded_stock_stream": q_seeded_stock_stream,

@@ -17,6 +17,7 @@ recognised (:func:`published_changes`).
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pyarrow as pa
@@ -209,3 +210,58 @@ def changes_query(envelope_stream: DataFrame, checkpoint: str, table: str | None
 def read_changes(spark: SparkSession, table: str, keys: Sequence[str] = ITEM_KEYS) -> DataFrame:
     """``id, <keys>, currentStock`` of every change in a changelog table."""
     return spark.read.option("basePath", table).parquet(table).select("id", *keys, "currentStock")
+
+
+# --- moving to another number of state partitions ----------------------------------
+
+
+def state_totals(spark: SparkSession, checkpoint: str, keys: Sequence[str] = ITEM_KEYS, batch_id: int | None = None) -> DataFrame:
+    """``<keys>, currentStock`` as the state of a (stopped) every-change query holds them."""
+    reader = spark.read.format("statestore").option("stateVarName", "total")
+    if batch_id is not None:
+        reader = reader.option("batchId", str(batch_id))
+    return reader.load(checkpoint).select(*[F.col(f"key.{k}").alias(k) for k in keys], F.col("value.total").alias("currentStock"))
+
+
+def move_state(spark: SparkSession, checkpoint: str, table: str, path: str, keys: Sequence[str] = ITEM_KEYS) -> tuple[DataFrame, DataFrame]:
+    """What a query on a new checkpoint, with another number of state partitions, goes on from.
+
+    ``opening`` (``<keys>, currentStock``) is the state after the last committed micro-batch of a stopped
+    query, ``positions`` (``partition, offset``) the last offset per topic partition that it counts: by
+    the changelog ``table``, without a folder that a failed batch left. Both are written under ``path``,
+    so the old checkpoint is needed once; while it stands, a move that was cut off can be run again.
+    The table before the move keeps its changes: :func:`committed_changes`.
+    """
+    last = spark.read.format("state-metadata").load(checkpoint).agg(F.max("maxBatchId")).first()[0]
+    state_totals(spark, checkpoint, keys, last).write.mode("overwrite").parquet(f"{path}/opening")
+    (committed_changes(spark, checkpoint, table).where(F.col("partition").isNotNull())
+     .groupBy("partition").agg(F.max("offset").alias("offset")).write.mode("overwrite").parquet(f"{path}/positions"))
+    return moved_state(spark, path, keys)
+
+
+def moved_state(spark: SparkSession, path: str, keys: Sequence[str] = ITEM_KEYS) -> tuple[DataFrame, DataFrame]:
+    """``opening`` and ``positions`` as :func:`move_state` left them (a restart passes the same ones)."""
+    ddl = ", ".join(f"{k} string" for k in keys)
+    return (spark.read.schema(f"{ddl}, currentStock long").parquet(f"{path}/opening"),
+            spark.read.schema("partition int, offset long").parquet(f"{path}/positions"))
+
+
+def committed_changes(spark: SparkSession, checkpoint: str, table: str) -> DataFrame:
+    """Rows of a changelog table up to the last micro-batch that its query committed."""
+    last = spark.read.format("state-metadata").load(checkpoint).agg(F.max("maxBatchId")).first()[0]
+    return spark.read.option("basePath", table).parquet(table).where(F.col("batch_id") <= last).drop("batch_id")
+
+
+def after(envelope_stream: DataFrame, positions: DataFrame) -> DataFrame:
+    """The records of a topic stream behind ``positions`` (one row a topic partition), and all of
+    partitions that have none. For a source that can't start there itself; a record counted
+    already is read again but dropped before it is decoded."""
+    upto = positions.select(F.col("partition").alias("_partition"), F.col("offset").alias("_upto"))
+    return envelope_stream.join(upto, F.col("partition") == F.col("_partition"), "left").where(
+        "_upto is null or offset > _upto").drop("_partition", "_upto")
+
+
+def starting_offsets(positions: DataFrame, topic: str) -> str:
+    """``positions`` as the startingOffsets option of a Kafka stream (one entry a topic partition).
+    A partition that is not named, as it had no counted record, must be added by the caller at -2 (earliest)."""
+    return json.dumps({topic: {str(r["partition"]): r["offset"] + 1 for r in positions.orderBy("partition").collect()}})
