@@ -222,6 +222,13 @@ def encode_transactions(tx: DataFrame, key: str = "storeName") -> DataFrame:
     )
 
 
+def encode_records(records: DataFrame, key: str, columns: tuple[str, ...] | None = None) -> DataFrame:
+    """Keyed JSON publish of any record: ``key`` = text of the key field, ``value`` = all its columns
+    (or ``columns``), nested ones too; null fields are omitted."""
+    fields = [F.col(f"`{c}`") for c in (columns or records.columns)]
+    return records.select(F.col(f"`{key}`").cast("string").alias("key"), F.to_json(F.struct(*fields)).alias("value"))
+
+
 def encode_inventory(stock: DataFrame) -> DataFrame:
     """Inventory change as a keyed message: key = itemID, value = JSON with nulls written."""
     return stock.select(
