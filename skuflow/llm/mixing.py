@@ -16,6 +16,7 @@ from skuflow.llm.common import once, written
 
 SPACE = r"[\x20\x09-\x0D]+"
 CELLS = 4096
+HASH_DIGITS = 15   # hexadecimal digits of a row's hash (60 bits, so a long holds it)
 
 
 def word_count(text: Column) -> Column:
@@ -53,14 +54,20 @@ def source_weights(sizes: DataFrame, weights: list[float] = (5, 2, 1)) -> DataFr
     return sizes.withColumn("weight", F.get(table, n % len(weights)))
 
 
+def _hash(seed: int, *cols: str) -> Column:
+    """A row's place in the seeded order, by md5, which SQL engines share."""
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols])
+    return F.conv(F.substring(F.md5(text), 1, HASH_DIGITS), 16, 10).cast("long")
+
+
 def _measured(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: int, keep: bool) -> DataFrame:
     """doc, source, size, a seeded hash of the row and its two cells; with ``keep`` the whole row as well."""
     row = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")] if keep else []
     return (
         docs.select(F.col(id_col).alias("doc"), F.col(source_col).alias("source"), F.col(text_col).alias("_text"), *row)
         .select("doc", "source", *(["_row"] if keep else []), once(word_count(F.col("_text")), "size"),
-                F.xxhash64(F.lit(seed), "doc", "_text").alias("h"))
-        .withColumns({f"c{i}": F.shiftright("h", bit).bitwiseAND(F.lit(CELLS - 1).cast("long")) for i, bit in ((1, 52), (2, 40))}))
+                once(_hash(seed, "doc", "_text"), "h"))
+        .withColumns({f"c{i}": F.shiftright("h", bit).bitwiseAND(F.lit(CELLS - 1).cast("long")) for i, bit in ((1, 48), (2, 36))}))
 
 
 def _border(cells: DataFrame, cell: str, quota: str) -> DataFrame:

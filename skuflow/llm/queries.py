@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skuflow.llm import (
-    alignment, conversations, decontamination, jaccard, langid, licenses, mixing, pii, quality, rules, secrets, tokens, warc,
+    alignment, conversations, decontamination, jaccard, langid, licenses, mixing, oracles, pii, quality, rules, secrets, tokens, warc,
 )
 from skuflow.llm.common import table
 
@@ -140,4 +140,5 @@ RULES_SQL = rf"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_quality_rules": RULES_SQL, "op8_warc_round_trip": WARC_SQL}
+    return {"op1_license_scan": oracles.license_sql(), "op2_mix_sources": oracles.mix_sql(), "op5_quality_rules": RULES_SQL,
+            "op6_ngram_jaccard_join": oracles.jaccard_sql(), "op8_warc_round_trip": WARC_SQL}
