@@ -6,10 +6,14 @@ import os
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
 _FALLBACK_ROOT: str | None = None
+_scopes: ContextVar[tuple[list[str], ...]] = ContextVar("scopes", default=())   # scratch folders of the open scopes
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "skuflow") -> SparkSession:
@@ -72,6 +76,36 @@ def default_parallelism(spark: SparkSession) -> int:
         return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder under the shared checkpoint root."""
-    return os.path.join(checkpoint_root(spark), "skuflow", f"{name}-{uuid.uuid4().hex[:12]}")
+def scratch_path(spark: SparkSession, name: str, keep: bool = False) -> str:
+    """A fresh, unique folder under the shared checkpoint root.
+
+    Inside a :func:`scratch_scope` it goes at the scope's end; with ``keep`` at the end of the scope
+    around that one, if there is one.
+    """
+    path = os.path.join(checkpoint_root(spark), "skuflow", f"{name}-{uuid.uuid4().hex[:12]}")
+    around = _scopes.get()[:-1] if keep else _scopes.get()
+    if around:
+        around[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Removes the scratch folders made inside, also after an error.
+
+    Queries read scratch tables lazily: what is to outlive the scope must be written (or collected)
+    inside it. Without a scope scratch tables stay, as a later action may still read them.
+    """
+    mine: list[str] = []
+    token = _scopes.set((*_scopes.get(), mine))
+    try:
+        yield
+    finally:
+        _scopes.reset(token)
+        for path in mine:
+            _remove(spark, path)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)

@@ -13,6 +13,7 @@ import argparse
 
 from pyspark.sql import SparkSession
 
+from skuflow.config import scratch_scope
 from skuflow.plans.catalog import queries
 from skuflow.plans.oracle import oracle_sql
 
@@ -33,14 +34,15 @@ def main(argv: list[str] | None = None) -> None:
             print(f"{name}{'' if name in oracles else '  (rows-only check)'}")
         return
     spark = SparkSession.builder.appName(f"skuflow-{a.query}").getOrCreate()
-    df = qs[a.query](spark, a.sf_dir)
-    if a.out:
-        df.write.mode("overwrite").format(a.format).save(a.out)
-    if a.show:
-        df.show(a.show, truncate=False)
-    if not a.out and not a.show:
-        df.write.format("noop").mode("overwrite").save()
-        print(f"{a.query}: ran to completion (use --out or --show to see rows)")
+    with scratch_scope(spark):
+        df = qs[a.query](spark, a.sf_dir)
+        if a.out:
+            df.write.mode("overwrite").format(a.format).save(a.out)
+        if a.show:
+            df.show(a.show, truncate=False)
+        if not a.out and not a.show:
+            df.write.format("noop").mode("overwrite").save()
+            print(f"{a.query}: ran to completion (use --out or --show to see rows)")
 
 
 if __name__ == "__main__":
