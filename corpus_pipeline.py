@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from skuflow.config import scratch_scope
 from skuflow.llm import decontamination, jaccard, mixing, quality, secrets
 from skuflow.llm.common import table, written
 
@@ -52,8 +53,10 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
+    """All stages over ``documents``. What a stage wrote for itself goes once its result is written;
+    the stages' results stay."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        with scratch_scope(spark):
+            docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"), keep=True)
     return docs

@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from skuflow.config import scratch_path
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """``df`` as a table under the shared checkpoint folder: later readers start
-    from the files, so a lost executor never recomputes what came before."""
+    from the files, so a lost executor never recomputes what came before. With
+    ``keep`` it outlives the innermost scratch scope."""
     spark = df.sparkSession
-    path = scratch_path(spark, f"llm-{name}")
+    path = scratch_path(spark, f"llm-{name}", keep)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
