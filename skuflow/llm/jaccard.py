@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skuflow.llm.common import row_key, written
@@ -33,6 +33,7 @@ ROUGH = 0.65                 # estimated similarity that proposes a link (thresh
 # distance is a metric: LOOSE + (1 - THRESHOLD), and 0.15 for the estimates' errors), so it may leave.
 LOOSE, TIGHT = 0.35, 0.7
 SLICE = 2048                 # rows of a large bucket that one task compares with its pivot
+STAR_SLICES = 64             # parts in which a node's edges meet its least neighbour
 LEVELS = 8                   # what is still together after so many splits is proposed as one group
 BLOCK_SETS, BLOCK_TOKENS = 1024, 1 << 18
 
@@ -181,6 +182,15 @@ def _brute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(left or none)), pa.array(np.concatenate(right or none))], ["a", "b"])
 
 
+def _with_least(edges: DataFrame) -> DataFrame:
+    """Every edge (a, b) with ``m``, the least b of its a. A node's edges are dealt by their other end
+    into slices, each summed before it moves, so that no task reads a whole star."""
+    dealt = edges.withColumn("slice", F.pmod(F.xxhash64(F.lit("star"), "b"), F.lit(STAR_SLICES)))
+    low = (dealt.groupBy("a", "slice").agg(F.min("b").alias("m"))
+           .withColumn("m", F.min("m").over(Window.partitionBy("a"))))   # STAR_SLICES rows a node at most
+    return dealt.join(low, ["a", "slice"]).drop("slice")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node of an edge list (a, b); the root is the component's least node.
 
@@ -192,11 +202,10 @@ def components(edges: DataFrame) -> DataFrame:
     mark = None
     while True:
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("m", "a"))
-        large = both.join(low, "a").where("b > a and b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = _with_least(both).withColumn("m", F.least("m", "a")).where("b > a and b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = written(large, "stars")
         low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low, "a").where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        small = _with_least(large).where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         e = written(small.unionByName(low.select("a", F.col("m").alias("b"))).distinct(), "edges")
         now = e.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first()
         if tuple(now) == mark:

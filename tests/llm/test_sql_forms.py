@@ -1,0 +1,57 @@
+"""Operators that SQL expresses against that SQL, over odd and empty tables."""
+
+import duckdb
+import pytest
+
+from skuflow.llm import jaccard, licenses, mixing, oracles
+from tests.llm.helpers import empty, odd
+from tools.compare import same
+
+
+def in_sql(docs, sql):
+    con = duckdb.connect()
+    con.register("documents", docs.toArrow())
+    return con.execute(sql).df()
+
+
+def joined(docs):
+    return jaccard.classes(docs).drop("_k1", "_k2", "root")
+
+
+def scanned(docs):
+    return licenses.license_scan(docs)
+
+
+@pytest.mark.parametrize("run,sql", [(scanned, oracles.license_sql()), (mixing.mix, oracles.mix_sql()), (joined, oracles.jaccard_sql())],
+                         ids=["licenses", "mixing", "jaccard"])
+@pytest.mark.parametrize("rows", [odd, empty], ids=["odd", "empty"])
+def test_odd_and_empty_tables_as_in_sql(spark, rows, run, sql):
+    docs = rows(spark)
+    assert same(run(docs).toPandas(), in_sql(docs, sql))
+
+
+@pytest.mark.parametrize("weights,epochs", [((5, 2, 1), 3.0), ((1,), 1.0), ((7, 1), 1.5)])
+def test_mixes_as_in_sql(spark, weights, epochs):
+    docs = spark.range(4000).selectExpr("id AS doc_id", "repeat('w ', cast(id % 37 as int)) AS text",
+                                        "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 11 = 0 THEN NULL ELSE concat('s', id % 7) END AS source")
+    got = mixing.mix(docs, weights=weights, max_epochs=epochs).toPandas()
+    assert same(got, in_sql(docs, oracles.mix_sql(weights, epochs)))
+
+
+def test_whole_license_blocks_as_in_sql(spark):
+    notices = [t for texts in licenses.TEMPLATES.values() for t in texts]
+    fill = "some other words of a page that say nothing "
+    texts = [fill * (i % 9) + n.upper() + " " + fill * (i % 5) + n + " cc by, All rights reserved." for i, n in enumerate(notices * 3)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = licenses.license_scan(docs).toPandas()
+    assert same(got, in_sql(docs, oracles.license_sql())) and (got["n_blocks"] > 0).all()
+
+
+def test_a_star_is_dealt_into_slices(spark):
+    n = 5000
+    hub = spark.range(1, n).selectExpr("id AS a", "0L AS b")
+    other = spark.range(n, 2 * n).selectExpr("id AS a", f"{2 * n}L AS b")   # its hub is its greatest node
+    got = jaccard.components(hub.union(other))
+    assert got.count() == 2 * n + 1 and got.where(f"root != case when node < {n} then 0 else {n} end").count() == 0
+    both = spark.range(1, n).selectExpr("0L AS a", "id AS b")
+    assert jaccard._with_least(both).where("m != 1").count() == 0 and jaccard._with_least(both).count() == n - 1
